@@ -78,7 +78,7 @@ def scan_month_zone_price(t: Tables) -> DataFrame:
     return readers.month_zone_price(t.spark, path).withColumn(SALE_PRICE, F.round(SALE_PRICE, 6))
 
 
-@query(f"SELECT zip, area, price, date FROM ({roles.DUCK_RAW_SALES})")
+@query(f"SELECT nullif(zip, '') AS zip, area, price, date FROM ({roles.DUCK_RAW_SALES})")
 def scan_csv_semicolon(t: Tables) -> DataFrame:
     rows = roles.raw_sales(t).drop("district", "year")
     path = _through(t, rows, writers.csv_header, "semicolon", header=False, sep=";")
@@ -131,7 +131,7 @@ def snapshot_tag_union(t: Tables) -> DataFrame:
     return readers.snapshot_files(t.spark, {p: f"{path}/period={p}" for p in periods}, LISTING_RAW_SCHEMA)
 
 
-@query(f"SELECT zip, price, district, year FROM ({roles.DUCK_RAW_SALES})")
+@query(f"SELECT nullif(zip, '') AS zip, price, district, year FROM ({roles.DUCK_RAW_SALES})")
 def scan_partitioned_dirs(t: Tables) -> DataFrame:
     path = _through(t, roles.raw_sales(t), writers.partitioned_csv, "sheets", by=["district", "year"])
     rows = readers.named_files(

@@ -61,7 +61,7 @@ def regression_metrics(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT l_returnflag, regr_count(l_extendedprice, l_quantity) AS n, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+    """SELECT l_returnflag, CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
     round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem GROUP BY 1"""
 )
 def linreg_closed_form(t: Tables) -> DataFrame:

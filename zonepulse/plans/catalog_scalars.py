@@ -188,7 +188,7 @@ def impute_rooms(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT page_id, trim(url) AS trimmed, length(html) AS n_chars, substr(html, 1, 15) AS head,
+    """SELECT page_id, trim(url) AS trimmed, CAST(length(html) AS INT) AS n_chars, substr(html, 1, 15) AS head,
     regexp_full_match(url, 'https?://[a-z.]+/fr/.*') AS is_french FROM pages"""
 )
 def string_funcs(t: Tables) -> DataFrame:

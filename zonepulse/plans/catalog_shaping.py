@@ -93,12 +93,12 @@ def composite_key_split(t: Tables) -> DataFrame:
 
 @query(
     """SELECT l_orderkey, l_partkey, CASE WHEN l_orderkey % 9 = 0 THEN NULL
-    ELSE round(l_extendedprice / l_quantity, 6) END AS unit_price FROM lineitem"""
+    ELSE l_extendedprice / l_quantity END AS unit_price FROM lineitem"""
 )
 def unit_price(t: Tables) -> DataFrame:
     area = F.expr("CASE WHEN l_orderkey % 9 = 0 THEN 0 ELSE l_quantity END")
     return t.lineitem.select(
-        "l_orderkey", "l_partkey", F.round(aggregates.unit_price("l_extendedprice", area), 6).alias("unit_price")
+        "l_orderkey", "l_partkey", aggregates.unit_price("l_extendedprice", area).alias("unit_price")
     )
 
 

@@ -34,20 +34,20 @@ def clean(raw: DataFrame, strip_commas: bool = True, carry: tuple[str, ...] = ()
     missing, a review score is low or missing, or anything else stays unknown.
     """
     named = raw.withColumnRenamed("neighbourhood_group_cleansed", "borough")
-    priced = named.na.drop(how="any", subset=LISTING_FEES).withColumns(
-        {c: parse_money(c, strip_commas) for c in LISTING_MONEY}
+    usable = (
+        named.filter(rules.complete(*LISTING_FEES))
+        .filter("zipcode != ' '")
+        .filter(rules.five_digits("zipcode"))
+        .filter(rules.some_present(*LISTING_ROOMS))
+        .filter(rules.at_least(LISTING_REVIEWS))
     )
-    placed = priced.filter("zipcode != ' '").filter(rules.five_digits("zipcode"))
-    roomed = placed.na.drop(how="all", subset=LISTING_ROOMS).withColumns(impute_rooms())
-    reviewed = roomed.filter(rules.at_least(LISTING_REVIEWS))
-    complete = reviewed.na.drop().drop(*LISTING_REVIEWS)
-    return complete.select(*carry, *LISTING_SCHEMA.names)
+    money = {c: parse_money(c, strip_commas) for c in LISTING_MONEY}
+    filled = usable.withColumns({**money, **impute_rooms()})
+    return filled.filter(rules.complete(*LISTING_SCHEMA.names)).select(*carry, *LISTING_SCHEMA.names)
 
 
 def row_rules(strip_commas: bool = True) -> Rules:
     """The same rules as a list over raw rows, for the attrition report."""
-    fees = rules.every(F.col(c).isNotNull() for c in LISTING_FEES)
-    rooms = F.coalesce(*(F.col(c).cast("double") for c in LISTING_ROOMS)).isNotNull()
     money = rules.every(parse_money(c, strip_commas).isNotNull() for c in LISTING_MONEY)
     others = (
         "neighbourhood_group_cleansed",
@@ -61,11 +61,11 @@ def row_rules(strip_commas: bool = True) -> Rules:
         TAG,
     )
     return [
-        ("fees present", fees),
+        ("fees present", rules.complete(*LISTING_FEES)),
         ("zip five digits", rules.five_digits("zipcode")),
-        ("a room count present", rooms),
+        ("a room count present", rules.some_present(*LISTING_ROOMS)),
         ("review scores", rules.at_least(LISTING_REVIEWS)),
-        ("nothing missing", money & rules.every(F.col(c).isNotNull() for c in others)),
+        ("nothing missing", money & rules.complete(*others)),
     ]
 
 

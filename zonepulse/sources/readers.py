@@ -29,7 +29,7 @@ def csv_table(
     multiline: bool = False,
     with_file: bool = False,
 ) -> DataFrame:
-    """A CSV scan with doubled quotes as escape.
+    """A CSV scan with doubled quotes as escape. An empty cell, quoted or not, is NULL.
 
     ``multiline=True`` lets quoted cells hold line breaks; Spark then reads each
     file in one task, so such data should come in files of bounded size.
