@@ -69,27 +69,35 @@ def split_outer_comma(line: Column | str, keep_trailing: bool = True) -> Column:
     """Cells of a line, split on the commas outside double quotes.
 
     A comma separates when an even number of quotes follows it. Cutting the line
-    at its quotes makes that a question of the piece's place from the end, so the
-    work is linear in the line. Quotes stay in the cells. With
-    ``keep_trailing=False`` empty cells at the end are dropped.
+    at its quotes makes that a question of which pieces lie outside: the even ones
+    in a line with paired quotes, the odd ones where a quote is left over. The work
+    is linear in the line. Quotes stay in the cells. With ``keep_trailing=False``
+    empty cells at the end are dropped.
     """
     line = as_col(line)
-    pieces = F.split(line, '"', -1)
-    last = F.size(pieces) - 1
-    marked = F.array_join(
-        F.transform(
-            pieces,
-            lambda piece, i: F.when((last - i) % 2 == 0, F.translate(piece, ",", _MARK)).otherwise(piece),
-        ),
-        '"',
+    bare = F.replace(line, F.lit('"'), F.lit(""))
+    paired = (F.length(line) - F.length(bare)) % 2 == 0
+    marked = (
+        F.when(~F.contains(line, F.lit('"')), F.replace(line, F.lit(","), F.lit(_MARK)))
+        .when(paired, _mark_pieces(line, 0))
+        .otherwise(_mark_pieces(line, 1))
     )
-    # Most lines hold no quote at all and need none of this.
-    marked = F.when(F.contains(line, F.lit('"')), marked).otherwise(F.translate(line, ",", _MARK))
     if keep_trailing:
         return F.split(marked, _MARK, -1)
-    kept = F.rtrim(marked, F.lit(_MARK))
-    only_separators = (kept == "") & (marked != "")
-    return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(kept, _MARK, -1))
+    only_commas = (F.rtrim(line, F.lit(",")) == "") & (line != "")
+    return F.when(only_commas, F.array().cast("array<string>")).otherwise(
+        F.split(F.rtrim(marked, F.lit(_MARK)), _MARK, -1)
+    )
+
+
+def _mark_pieces(line: Column, outside: int) -> Column:
+    """The line with its separating commas replaced. The lambda refers to nothing but
+    its own arguments: anything else would be evaluated again for every piece."""
+    pieces = F.transform(
+        F.split(line, '"', -1),
+        lambda piece, i: F.when(i % 2 == outside, F.replace(piece, F.lit(","), F.lit(_MARK))).otherwise(piece),
+    )
+    return F.array_join(pieces, '"')
 
 
 def unquote(cell: Column | str) -> Column:

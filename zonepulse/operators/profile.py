@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _rows(df: DataFrame, columns: list[str], stats: dict[str, callable]) -> DataFrame:
@@ -34,14 +35,17 @@ def distinct_counts(df: DataFrame, columns: list[str], exact: bool = True, rsd:
 
 def value_range(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, min_value, max_value) with both ends as text."""
-    return _rows(df, columns, {"min_value": _text(F.min), "max_value": _text(F.max)})
+    return _rows(df, columns, _ends(df))
 
 
-def _text(fn):
-    def apply(c: str) -> Column:
-        return fn(c).cast("string")
+def _ends(df: DataFrame) -> dict[str, callable]:
+    fractions = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
 
-    return apply
+    def text(fn, c: str) -> Column:
+        # -0.0 and 0.0 are equal, so either could be the end; adding zero makes both 0.0.
+        return (fn(c) + F.lit(0.0) if c in fractions else fn(c)).cast("string")
+
+    return {"min_value": lambda c: text(F.min, c), "max_value": lambda c: text(F.max, c)}
 
 
 def schema_rows(df: DataFrame) -> DataFrame:
@@ -71,7 +75,6 @@ def profile_table(df: DataFrame, columns: list[str] | None = None, exact: bool =
             "n_rows": lambda c: F.count(F.lit(1)),
             "n_null": lambda c: F.count_if(F.col(c).isNull()),
             "n_distinct": distinct,
-            "min_value": _text(F.min),
-            "max_value": _text(F.max),
+            **_ends(df),
         },
     )

@@ -142,7 +142,7 @@ def approx_distinct_counts(t: Tables) -> DataFrame:
 
 @query(
     """SELECT 'ts' AS column_name, CAST(min(ts) AS VARCHAR) AS min_value, CAST(max(ts) AS VARCHAR) AS max_value FROM events
-    UNION ALL SELECT 'value', CAST(min(value) AS VARCHAR), CAST(max(value) AS VARCHAR) FROM events
+    UNION ALL SELECT 'value', CAST(min(value) + 0.0 AS VARCHAR), CAST(max(value) + 0.0 AS VARCHAR) FROM events
     UNION ALL SELECT 'event_type', min(event_type), max(event_type) FROM events"""
 )
 def min_max_profile(t: Tables) -> DataFrame:
