@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,14 @@ def month_start(c: Column | str) -> Column:
     return F.concat(as_col(c), F.lit("-01")).try_cast("date")
 
 
+def in_month(c: Column | str, month: str) -> Column:
+    """Whether a date or timestamp column lies in a ``yyyy-MM`` month, as a range on
+    the bare column, so that a scan can skip the row groups outside of it."""
+    first = datetime.date.fromisoformat(f"{month}-01")
+    after = (first + datetime.timedelta(days=31)).replace(day=1)
+    return (as_col(c) >= F.lit(first)) & (as_col(c) < F.lit(after))
+
+
 def format_month(c: Column | str) -> Column:
     """``M/d/y`` to ``yyyy-MM``; the year may have 1, 2 or 4 digits, else NULL.
 

@@ -56,7 +56,8 @@ def parse_number(c: Column | str, symbols: str = "$,", legacy_sign: bool = False
     if legacy_sign:
         bare = F.trim(F.translate(bare, "-", ""))
     else:
-        bare = F.regexp_replace(bare, r"^-\s+", "-")
+        # Few cells begin with a dash; only those pay for the pattern.
+        bare = F.when(bare.startswith("-"), F.regexp_replace(bare, r"^-\s+", "-")).otherwise(bare)
     return to_double(bare)
 
 
@@ -68,36 +69,36 @@ def is_plain_number(c: Column | str, symbols: str = "$,") -> Column:
 def split_outer_comma(line: Column | str, keep_trailing: bool = True) -> Column:
     """Cells of a line, split on the commas outside double quotes.
 
-    A comma separates when an even number of quotes follows it. Cutting the line
-    at its quotes makes that a question of which pieces lie outside: the even ones
-    in a line with paired quotes, the odd ones where a quote is left over. The work
-    is linear in the line. Quotes stay in the cells. With ``keep_trailing=False``
-    empty cells at the end are dropped.
+    A comma separates when an even number of quotes follows it. Cut at its quotes
+    and read from the end, a line has every second piece outside of quotes, whether
+    or not the quotes pair up; so the work is linear in the line. Quotes stay in the
+    cells. With ``keep_trailing=False`` empty cells at the end are dropped.
     """
     line = as_col(line)
-    bare = F.replace(line, F.lit('"'), F.lit(""))
-    paired = (F.length(line) - F.length(bare)) % 2 == 0
-    marked = (
-        F.when(~F.contains(line, F.lit('"')), F.replace(line, F.lit(","), F.lit(_MARK)))
-        .when(paired, _mark_pieces(line, 0))
-        .otherwise(_mark_pieces(line, 1))
-    )
-    if keep_trailing:
-        return F.split(marked, _MARK, -1)
-    only_commas = (F.rtrim(line, F.lit(",")) == "") & (line != "")
-    return F.when(only_commas, F.array().cast("array<string>")).otherwise(
-        F.split(F.rtrim(marked, F.lit(_MARK)), _MARK, -1)
-    )
 
-
-def _mark_pieces(line: Column, outside: int) -> Column:
-    """The line with its separating commas replaced. The lambda refers to nothing but
-    its own arguments: anything else would be evaluated again for every piece."""
-    pieces = F.transform(
-        F.split(line, '"', -1),
-        lambda piece, i: F.when(i % 2 == outside, F.replace(piece, F.lit(","), F.lit(_MARK))).otherwise(piece),
+    def cells(text: Column, separator: str) -> Column:
+        if keep_trailing:
+            return F.split(text, separator, -1)
+        # The end of a line lies outside of quotes, so the raw line tells if there is work.
+        kept = F.when(line.endswith(","), F.rtrim(text, F.lit(separator))).otherwise(text)
+        return F.split(kept, separator, -1)
+
+    # The lambda refers to nothing but its own arguments: anything else would be
+    # evaluated again for every piece.
+    marked = F.array_join(
+        F.reverse(
+            F.transform(
+                F.reverse(F.split(line, '"', -1)),
+                lambda piece, i: F.when(i % 2 == 0, F.replace(piece, F.lit(","), F.lit(_MARK))).otherwise(piece),
+            )
+        ),
+        '"',
     )
-    return F.array_join(pieces, '"')
+    split = F.when(F.contains(line, F.lit('"')), cells(marked, _MARK)).otherwise(cells(line, ","))
+    if keep_trailing:
+        return split
+    only_commas = line.startswith(",") & (F.rtrim(line, F.lit(",")) == "")
+    return F.when(only_commas, F.array().cast("array<string>")).otherwise(split)
 
 
 def unquote(cell: Column | str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LABEL
+from ..session import materialise
 
 BUCKETS = 10
 
@@ -24,6 +25,11 @@ def hash_bucket(key: Column | str, buckets: int = BUCKETS) -> Column:
     return (F.conv(head, 16, 10).cast("int") % buckets).cast("int")
 
 
+def with_split(df: DataFrame, key: str, train_buckets: int = 9) -> DataFrame:
+    """``bucket`` and ``is_train`` beside each row, in one pass."""
+    return df.withColumn("bucket", hash_bucket(key)).withColumn("is_train", F.col("bucket") < train_buckets)
+
+
 def split_by_hash(df: DataFrame, key: str, train_buckets: int = 9) -> tuple[DataFrame, DataFrame]:
     """90 % to train and 10 % to test, by key."""
     bucket = hash_bucket(key)
@@ -83,16 +89,21 @@ def compare(
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit each estimator on one split and report (model, n, rmse, mae) on the rest.
 
-    The frame is kept for the time of the fits, which pass over it many times; the
-    report is then computed from the test side by the caller's action.
+    The frame is evaluated once and kept for the time of the fits, which pass over it
+    many times. The report, one row per model, is stored before it is let go.
     """
     features = feature_columns(df, label, (key, *leave_out))
-    train, test = split_by_hash(df, key)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        train, test = split_by_hash(kept, key)
         models = {name: fit(train, features, e) for name, e in estimators.items()}
+        return materialise(_held_out_errors(test, models, label)), models
     finally:
-        train.unpersist()
+        kept.unpersist()
+
+
+def _held_out_errors(test: DataFrame, models: dict[str, PipelineModel], label: str) -> DataFrame:
+    """Every model's errors from one pass over the test rows."""
     scored = test
     for name, model in models.items():
         scored = model.transform(scored).drop("features").withColumnRenamed("prediction", f"prediction_{name}")
@@ -113,7 +124,7 @@ def compare(
         )
         for name in models
     ]
-    return scored.agg(*stats).select(F.inline(F.array(*rows))), models
+    return scored.agg(*stats).select(F.inline(F.array(*rows)))
 
 
 def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:

@@ -133,7 +133,7 @@ def audit_bad_numbers(t: Tables) -> DataFrame:
     WHERE month = '1998-10' AND zone = 7 GROUP BY ALL"""
 )
 def lookup_by_key(t: Tables) -> DataFrame:
-    hit = roles.listings(t).filter((F.col("month") == "1998-10") & (F.col("zone") == 7))
+    hit = roles.listings(t, month="1998-10").filter(F.col("zone") == 7)
     return hit.groupBy("month", "zone").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), 2).alias("price"))
 
 
@@ -170,7 +170,7 @@ def dq_attrition_report(t: Tables) -> DataFrame:
     UNION ALL SELECT 4, 'price positive', s4 FROM s UNION ALL SELECT 5, 'zip length', s5 FROM s"""
 )
 def dq_attrition_sales(t: Tables) -> DataFrame:
-    return quality.attrition(sales.select_cells(roles.raw_sales(t)), sales.cell_rules())
+    return quality.attrition(sales.figures(sales.select_cells(roles.raw_sales(t))), sales.figure_rules())
 
 
 @query(

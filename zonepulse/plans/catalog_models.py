@@ -20,9 +20,7 @@ _BUCKET = "('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 4))::INT % 10"
 
 @query(f"SELECT o_orderkey, {_BUCKET.format(k='o_orderkey')} AS bucket, {_BUCKET.format(k='o_orderkey')} < 9 AS is_train FROM orders")
 def hash_split(t: Tables) -> DataFrame:
-    train, test = learning.split_by_hash(t.orders.select("o_orderkey"), "o_orderkey")
-    both = train.withColumn("is_train", F.lit(True)).unionByName(test.withColumn("is_train", F.lit(False)))
-    return both.select("o_orderkey", learning.hash_bucket("o_orderkey").alias("bucket"), "is_train")
+    return learning.with_split(t.orders.select("o_orderkey"), "o_orderkey")
 
 
 @query(

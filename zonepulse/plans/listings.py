@@ -10,6 +10,7 @@ from ..functions.encode import impute_rooms, one_hot
 from ..functions.months import month_from_slash
 from ..functions.text import parse_money
 from ..operators.quality import Rules
+from ..operators.shaping import derive
 from ..schemas import (
     BOROUGH_ALIASES,
     BOROUGH_SLOTS,
@@ -42,7 +43,7 @@ def clean(raw: DataFrame, strip_commas: bool = True, carry: tuple[str, ...] = ()
         .filter(rules.at_least(LISTING_REVIEWS))
     )
     money = {c: parse_money(c, strip_commas) for c in LISTING_MONEY}
-    filled = usable.withColumns({**money, **impute_rooms()})
+    filled = derive(usable, {**money, **impute_rooms()})
     return filled.filter(rules.complete(*LISTING_SCHEMA.names)).select(*carry, *LISTING_SCHEMA.names)
 
 

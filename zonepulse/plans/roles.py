@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.months import month_text
+from ..functions.months import in_month, month_text
 from ..schemas import COMPLAINT_POSITIONS, COMPLAINT_SLOTS, COMPLAINT_WIDTH, LISTING_NUMERIC, SALE_POSITIONS
 from .catalog import Tables
 
@@ -84,8 +84,9 @@ DUCK_UNIT_PRICE = "avg(price / area) FILTER (WHERE area > 0)"
 DUCK_SHIFT = "strftime(CAST(month || '-01' AS DATE) + to_months(CAST({k} AS INT)), '%Y-%m')"
 
 
-def listings(t: Tables) -> DataFrame:
-    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+def listings(t: Tables, month: str | None = None) -> DataFrame:
+    orders = t.orders if month is None else t.orders.filter(in_month("o_orderdate", month))
+    return orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("listing_id"),
         month_text("o_orderdate").alias("month"),
         F.col("c_nationkey").alias("zone"),

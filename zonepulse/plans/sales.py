@@ -11,6 +11,7 @@ from ..functions.text import parse_number
 from ..operators.aggregates import mean_by, unit_price
 from ..operators.joins import shifted
 from ..operators.quality import Rules, keep
+from ..operators.shaping import derive
 from ..schemas import SALE_POSITIONS, SALE_PRICE
 
 # Symbols stripped from each figure before it must be a number.
@@ -32,26 +33,30 @@ def sheet_rows(raw: DataFrame, only_year: str | None = None) -> DataFrame:
     return rows.filter(rules.date_in_year(f"c{SALE_POSITIONS['date']}", only_year))
 
 
-def cell_rules(legacy_sign: bool = False) -> Rules:
-    """The rules on the text cells (zip, area, price, date), in order."""
-    area = parse_number("area", FIGURES["area"], legacy_sign)
-    price = parse_number("price", FIGURES["price"], legacy_sign)
+def figures(cells: DataFrame, legacy_sign: bool = False) -> DataFrame:
+    """The text cells with ``area_value`` and ``price_value`` beside them; NULL where
+    the text is no number. Each figure is parsed once, however many rules test it."""
+    return derive(cells, {f"{c}_value": parse_number(c, symbols, legacy_sign) for c, symbols in FIGURES.items()})
+
+
+def figure_rules() -> Rules:
+    """The rules on ``figures`` rows, in order."""
     return [
         ("required cells", rules.required("zip", "area", "price", "date")),
-        ("numbers parse", area.isNotNull() & price.isNotNull()),
-        ("area positive", area > 0),
-        ("price positive", price > 0),
+        ("numbers parse", rules.complete("area_value", "price_value")),
+        ("area positive", rules.positive("area_value")),
+        ("price positive", rules.positive("price_value")),
         ("zip length", rules.text_length(F.trim("zip"), 5)),
     ]
 
 
 def clean(cells: DataFrame, legacy_sign: bool = False) -> DataFrame:
     """Text cells to (month, zone, area, price)."""
-    return keep(cells, cell_rules(legacy_sign)).select(
+    return keep(figures(cells, legacy_sign), figure_rules()).select(
         format_month(F.trim("date")).alias("month"),
         F.trim("zip").alias("zone"),
-        parse_number("area", FIGURES["area"], legacy_sign).alias("area"),
-        parse_number("price", FIGURES["price"], legacy_sign).alias("price"),
+        F.col("area_value").alias("area"),
+        F.col("price_value").alias("price"),
     )
 
 
