@@ -40,10 +40,16 @@ def test_attach_salted_equals_broadcast(skewed, how):
 
 
 def test_salt_spreads_a_hot_key(skewed):
-    facts, _ = skewed
-    hot = facts.filter(F.col("zone") == "hot").withColumn("s", F.pmod(F.xxhash64("id"), F.lit(joins.SALTS)))
-    sizes = [r["count"] for r in hot.groupBy("s").count().collect()]
-    assert len(sizes) == joins.SALTS and max(sizes) < 2 * 1000 / joins.SALTS
+    facts, per_key = skewed
+    hot = facts.filter(F.col("zone") == "hot").repartition(40)
+    for by in (["id"], ["zone"]):  # rows that differ, and copies that do not
+        joined = joins.salted_join(hot, per_key.withColumn("copy", F.lit(1)), ["month", "zone"], by)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "spark_partition_id" in plan or "SPARK_PARTITION_ID" in plan
+        assert joined.count() == 1000
+        salt = F.pmod(F.xxhash64(*by, F.spark_partition_id()), F.lit(joins.SALTS))
+        sizes = [r["count"] for r in hot.groupBy(salt.alias("s")).count().collect()]
+        assert len(sizes) > joins.SALTS / 2 and max(sizes) < 4 * 1000 / joins.SALTS
 
 
 def test_absent_keys(skewed):

@@ -43,9 +43,11 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join with the hot keys of ``facts`` spread over ``salts`` tasks.
 
-    The salt is a hash of row values, so a recomputed task gives the same rows.
+    The salt is a hash of row values and the number of the task that reads them: copies
+    of one row are spread too, and a recomputed task gives the same salts.
     """
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    spread = F.xxhash64(*spread_by, F.spark_partition_id())
+    salted_facts = facts.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
     copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_facts.join(copies, [*keys, "_salt"], how).drop("_salt")
 

@@ -62,8 +62,17 @@ def forest(label: str = LABEL, depth: int = 20, trees: int = 10, seed: int = 123
     )
 
 
-def fit(train: DataFrame, features: list[str], estimator: Estimator) -> PipelineModel:
-    return Pipeline(stages=[assembler(features), estimator]).fit(train)
+def fit(train: DataFrame, features: list[str], estimator: Estimator, keep: bool = True) -> PipelineModel:
+    """Fit assembler and estimator. The needed columns are kept for the time of the
+    fit, which reads them several times; ``keep=False`` when they already are."""
+    pipeline = Pipeline(stages=[assembler(features), estimator])
+    if not keep:
+        return pipeline.fit(train)
+    rows = train.select(*features, estimator.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -96,7 +105,7 @@ def compare(
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, test = split_by_hash(kept, key)
-        models = {name: fit(train, features, e) for name, e in estimators.items()}
+        models = {name: fit(train, features, e, keep=False) for name, e in estimators.items()}
         return materialise(_held_out_errors(test, models, label)), models
     finally:
         kept.unpersist()
