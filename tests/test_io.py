@@ -80,3 +80,19 @@ def test_shared_folder_and_lineage(spark):
     cut = materialise(spark.range(10).withColumn("v", F.col("id") * 2))
     assert cut.agg(F.sum("v")).first()[0] == 90
     assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_named_folder_is_used(tmp_path):
+    """A cluster names the folder in the session; a new process is needed to see it."""
+    import subprocess
+    import sys
+
+    code = (
+        "from zonepulse.session import *\n"
+        f"spark = build_session('x', 'local[1]', **{{'spark.checkpoint.dir': '{tmp_path}', 'spark.ui.enabled': 'false'}})\n"
+        f"assert shared_folder(spark) == '{tmp_path}'\n"
+        f"assert scratch_path(spark, 'a').startswith('{tmp_path}/a-')\n"
+        "assert materialise(spark.range(5)).count() == 5\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=100, capture_output=True)
+    assert any(p.name.startswith("rdd-") for p in tmp_path.rglob("*"))

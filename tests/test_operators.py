@@ -161,3 +161,17 @@ def test_key_moments_of_nulls(spark):
     df = spark.createDataFrame([("m", 1.0), ("m", 3.0), ("m", None), ("n", None)], "month string, v double")
     got = correlation.key_moments(df, ["month"], "v").collect()
     assert [tuple(r) for r in got] == [("m", 2, 2.0, 2.0, 1.0, 3.0)]
+
+
+def test_combining_aggregates_adds_no_shuffle(spark):
+    from zonepulse.plans import complaints, sales
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows_ = spark.range(1000).selectExpr("cast(id % 12 as string) AS month", "id % 5 AS zone", "'HEATING' AS type", "1.0 AS area", "2.0 AS price")
+        keys = ["month", "zone"]
+        both = joins.combine([complaints.counts(rows_, keys), sales.mean_unit_price(rows_, keys)], keys)
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -52,13 +52,21 @@ def linear(label: str = LABEL, max_iter: int = 100, reg: float = 0.3, alpha: flo
     )
 
 
-def boosted_trees(label: str = LABEL, max_iter: int = 50, seed: int = 12345) -> GBTRegressor:
-    return GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed)
+def boosted_trees(
+    label: str = LABEL, max_iter: int = 50, seed: int = 12345, memory_mb: int = 1024
+) -> GBTRegressor:
+    return GBTRegressor(
+        featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed, maxMemoryInMB=memory_mb
+    )
 
 
-def forest(label: str = LABEL, depth: int = 20, trees: int = 10, seed: int = 12345) -> RandomForestRegressor:
+def forest(
+    label: str = LABEL, depth: int = 20, trees: int = 10, seed: int = 12345, memory_mb: int = 1024
+) -> RandomForestRegressor:
+    """``memory_mb`` bounds the node statistics of one pass: with more of it, a deep
+    forest on much data needs fewer passes over the rows."""
     return RandomForestRegressor(
-        featuresCol="features", labelCol=label, maxDepth=depth, numTrees=trees, seed=seed
+        featuresCol="features", labelCol=label, maxDepth=depth, numTrees=trees, seed=seed, maxMemoryInMB=memory_mb
     )
 
 

@@ -33,8 +33,9 @@ def listing_rows(t: Tables) -> DataFrame:
     return listings.features(clean, carry=("listing_id",))
 
 
-def training(t: Tables) -> DataFrame:
-    return study.training_frame(listing_rows(t), profile(t), ["listing_id"], carry=("listing_id",))
+def training(t: Tables, neighbourhood: DataFrame | None = None) -> DataFrame:
+    table = profile(t) if neighbourhood is None else neighbourhood
+    return study.training_frame(listing_rows(t), table, ["listing_id"], carry=("listing_id",))
 
 
 _MONTH_TOTALS = f"SELECT month, count(*) AS all_type_complaint FROM ({roles.DUCK_COMPLAINTS}) GROUP BY 1"

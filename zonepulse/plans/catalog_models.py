@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import learning
 from ..operators.joins import attach
 from ..schemas import FEATURE_COLUMNS
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from . import roles, study
 from .catalog import Tables, query
 from .catalog_joins import profile, training
@@ -122,6 +122,6 @@ def model_roundtrip(t: Tables) -> DataFrame:
 
 @query()
 def score_requests(t: Tables) -> DataFrame:
-    neighbourhood = profile(t)
-    model = learning.fit(training(t), FEATURE_COLUMNS, _small_forest())
+    neighbourhood = materialise(profile(t))
+    model = learning.fit(training(t, neighbourhood), FEATURE_COLUMNS, _small_forest())
     return study.score(roles.requests(t), neighbourhood, model)
