@@ -13,6 +13,11 @@ DOUBLE_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 PLAIN_NUMBER = r"^([0-9]*[.])?[0-9]+$"
 
 _MARK = "\u0001"
+_ESCAPE = "\u0002"
+
+
+def _swap(c: Column, old: str, new: str) -> Column:
+    return F.replace(c, F.lit(old), F.lit(new))
 
 
 def is_int_text(c: Column | str) -> Column:
@@ -83,18 +88,25 @@ def split_outer_comma(line: Column | str, keep_trailing: bool = True) -> Column:
         kept = F.when(line.endswith(","), F.rtrim(text, F.lit(separator))).otherwise(text)
         return F.split(kept, separator, -1)
 
-    # The lambda refers to nothing but its own arguments: anything else would be
-    # evaluated again for every piece.
-    marked = F.array_join(
-        F.reverse(
-            F.transform(
-                F.reverse(F.split(line, '"', -1)),
-                lambda piece, i: F.when(i % 2 == 0, F.replace(piece, F.lit(","), F.lit(_MARK))).otherwise(piece),
-            )
-        ),
-        '"',
+    def mark(text: Column) -> Column:
+        # The lambda refers to nothing but its own arguments: anything else would be
+        # evaluated again for every piece.
+        outer = F.transform(
+            F.reverse(F.split(text, '"', -1)),
+            lambda piece, i: F.when(i % 2 == 0, _swap(piece, ",", _MARK)).otherwise(piece),
+        )
+        return F.array_join(F.reverse(outer), '"')
+
+    # A line that holds the mark itself has it spelled in two characters meanwhile.
+    spelled = _swap(_swap(line, _ESCAPE, _ESCAPE + "b"), _MARK, _ESCAPE + "a")
+    restored = F.transform(
+        cells(mark(spelled), _MARK), lambda c: _swap(_swap(c, _ESCAPE + "a", _MARK), _ESCAPE + "b", _ESCAPE)
+    )
+    split = (
+        F.when(~F.contains(line, F.lit('"')), cells(line, ","))
+        .when(~F.contains(line, F.lit(_MARK)), cells(mark(line), _MARK))
+        .otherwise(restored)
     )
-    split = F.when(F.contains(line, F.lit('"')), cells(marked, _MARK)).otherwise(cells(line, ","))
     if keep_trailing:
         return split
     only_commas = line.startswith(",") & (F.rtrim(line, F.lit(",")) == "")

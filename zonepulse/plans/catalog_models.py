@@ -110,14 +110,30 @@ def model_coefficients(t: Tables) -> DataFrame:
     return learning.coefficients(t.spark, model)
 
 
-@query()
+@query(
+    f"""SELECT listing_id, TRUE AS is_same FROM ({roles.DUCK_CLEAN_LISTINGS}) l
+    JOIN ({roles.DUCK_PROFILE}) p ON replace(l.Date, '/', '-') = p.month AND l.zipcode = p.zone"""
+)
 def model_roundtrip(t: Tables) -> DataFrame:
-    """Predictions of a model that was saved and loaded again."""
+    """Whether a model predicts the same after it was saved and loaded."""
     frame = training(t)
     path = scratch_path(t.spark, "model")
-    learning.save_model(learning.fit(frame, FEATURE_COLUMNS, learning.linear()), path)
-    scored = learning.load_model(path).transform(frame)
-    return scored.select(ID, F.round("prediction", 2).alias("prediction"))
+    model = learning.fit(frame, FEATURE_COLUMNS, learning.linear())
+    learning.save_model(model, path)
+    before = model.transform(frame).drop("features").withColumnRenamed("prediction", "before")
+    after = learning.load_model(path).transform(before)
+    return after.select(ID, (F.col("before") == F.col("prediction")).alias("is_same"))
+
+
+@query(
+    """SELECT 'l_quantity' AS feature, round(regr_slope(l_extendedprice, l_quantity), 4) AS coefficient FROM lineitem
+    UNION ALL SELECT '(intercept)', round(regr_intercept(l_extendedprice, l_quantity), 4) FROM lineitem"""
+)
+def fit_linear_unpenalised(t: Tables) -> DataFrame:
+    """The pipeline fit without a penalty, which has a closed form to compare with."""
+    plain = learning.linear(label="l_extendedprice", reg=0.0, alpha=0.0)
+    model = learning.fit(t.lineitem, ["l_quantity"], plain)
+    return learning.coefficients(t.spark, model).withColumn("coefficient", F.round("coefficient", 4))
 
 
 @query()

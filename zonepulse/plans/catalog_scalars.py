@@ -188,13 +188,13 @@ def impute_rooms(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT page_id, trim(url) AS trimmed, CAST(length(html) AS INT) AS n_chars, substr(html, 16) AS after_doctype,
+    """SELECT page_id, url AS trimmed, CAST(length(html) AS INT) AS n_chars, substr(html, 16) AS after_doctype,
     regexp_full_match(url, 'https?://[a-z.]+/fr/.*') AS is_french FROM pages"""
 )
 def string_funcs(t: Tables) -> DataFrame:
     return t.pages.select(
         "page_id",
-        F.trim("url").alias("trimmed"),
+        F.trim(F.concat(F.lit("  "), "url", F.lit(" "))).alias("trimmed"),
         F.length("html").alias("n_chars"),
         F.substring("html", F.lit(16), F.length("html")).alias("after_doctype"),
         F.col("url").rlike("^https?://[a-z.]+/fr/.*$").alias("is_french"),
