@@ -95,4 +95,4 @@ def test_the_named_folder_is_used(tmp_path):
         "assert materialise(spark.range(5)).count() == 5\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, timeout=100, capture_output=True)
-    assert any(p.name.startswith("rdd-") for p in tmp_path.rglob("*"))
+    assert any(p.name.startswith("stage-") for p in tmp_path.rglob("*"))

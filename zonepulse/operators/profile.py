@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _rows(df: DataFrame, columns: list[str], stats: dict[str, callable]) -> DataFrame:
+def _rows(df: DataFrame, columns: list[str], stats: dict[str, Callable[[str], Column]]) -> DataFrame:
     """Aggregate every statistic of every column at once, then one row per column."""
     aggregates = [fn(c).alias(f"{i}_{name}") for i, c in enumerate(columns) for name, fn in stats.items()]
     structs = [
@@ -38,7 +40,7 @@ def value_range(df: DataFrame, columns: list[str]) -> DataFrame:
     return _rows(df, columns, _ends(df))
 
 
-def _ends(df: DataFrame) -> dict[str, callable]:
+def _ends(df: DataFrame) -> dict[str, Callable[[str], Column]]:
     fractions = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
 
     def text(fn, c: str) -> Column:
