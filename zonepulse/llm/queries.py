@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hilbert import Dim, hilbert_shards
+from .jaccard_join import jaccard_components
 from .mixing import mix, taken_words
+from .relative_lz import remove_repeats
 from .text import n_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@published
+def op4_relative_lz(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = remove_repeats(table(spark, folder, "documents"), window=13)
+    return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @published
 def op5_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
@@ -37,6 +45,11 @@ def op5_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@published
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"), k=4, threshold=(85, 100), lower=True)
+
+
 @published
 def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

@@ -101,6 +101,22 @@ class Chunk:
     def n_words(self) -> np.ndarray:
         return np.diff(self.bounds)
 
+    def joined(self, keep: np.ndarray) -> pa.Array:
+        """Per text the words marked in ``keep``, one space between them."""
+        starts = self.starts[keep]
+        lengths = self.ends[keep] - starts + 1
+        out = np.append(self.bytes, np.uint8(32))[ranges(starts, lengths)]
+        after = np.cumsum(lengths)
+        out[after - 1] = 32
+        before = np.concatenate([[0], np.cumsum(keep)])
+        counts = before[self.bounds[1:]] - before[self.bounds[:-1]]
+        last = before[self.bounds[1:]][counts > 0] - 1
+        out = np.delete(out, after[last] - 1)
+        ends = np.concatenate([[0], after])[before[self.bounds]] - np.concatenate([[0], np.cumsum(counts > 0)])
+        if ends[-1] < 1 << 31:
+            return pa.StringArray.from_buffers(self.n_texts, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out))
+        return pa.LargeStringArray.from_buffers(self.n_texts, pa.py_buffer(ends), pa.py_buffer(out))
+
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers at which k words of one text start, and the hashes of those runs."""
         count = np.maximum(self.n_words() - k + 1, 0)
@@ -122,7 +138,7 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, counts)
 
 
-def chunks(texts: pa.Array, lower: bool = False, most_bytes: int = 4 << 20) -> Iterator[Chunk]:
+def chunks(texts: pa.Array, lower: bool = False, most_bytes: int = 1 << 20) -> Iterator[Chunk]:
     """The texts of an Arrow column in runs of about ``most_bytes``; NULL is an empty text.
 
     A longer text is a run of its own: texts are never cut.
