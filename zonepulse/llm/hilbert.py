@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from .shipping import ship
 
 
 @dataclass(frozen=True)
@@ -95,6 +96,8 @@ def hilbert_shards(docs: DataFrame, dims: dict[str, Dim], shards: int, bits: int
     shards leave the last shards empty or nearly so; no rows give no rows.
     """
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("long")
     def index(cells: pd.Series) -> pd.Series:
         if not len(cells):

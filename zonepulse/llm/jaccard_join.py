@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from .components import components
 from .filters import sketch, split_by
+from .shipping import map_arrow
 from .text import chunks, ranges
 
 #: Counters of the document frequencies: their number does not grow with the input.
@@ -105,8 +106,8 @@ def gram_counts(docs: DataFrame, text_col: str, k: int, lower: bool) -> np.ndarr
     """Documents per counter; the one table of this operator that the driver holds, 8 bytes
     for each of 2^21 counters. Each task adds up its own documents first."""
     kind = "block int, counts binary"
-    parts = docs.select(text_col).mapInArrow(_count_grams(k, lower), kind)
-    summed = parts.repartition("block").mapInArrow(_sum_counts, kind)
+    parts = map_arrow(docs.select(text_col), _count_grams(k, lower), kind)
+    summed = map_arrow(parts.repartition("block"), _sum_counts, kind)
     out = np.zeros((1 << SLOT_BITS) // _BLOCK * _BLOCK, dtype=np.int64).reshape(-1, _BLOCK)
     for row in summed.collect():
         out[row.block] = _unpack(bytes(row.counts))
@@ -195,7 +196,8 @@ class JaccardJoin:
         sc = self.docs.sparkSession.sparkContext
         kind = dict(self.docs.dtypes)["id"]
         counts = sc.broadcast(gram_counts(self.docs, "text", self.k, self.lower))
-        made = self.docs.mapInArrow(
+        made = map_arrow(
+            self.docs,
             _set_rows(self.k, self.lower, self.t, counts),
             f"id {kind}, n bigint, s1 bigint, s2 bigint, prefix array<bigint>, bins array<int>",
         )
@@ -235,7 +237,7 @@ class JaccardJoin:
         texts = near.select("id", "text")
         rows = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
         kind = dict(pairs.dtypes)["a"]
-        checked = rows.select("a", "b", "text_a", "text_b").mapInArrow(_verify(self.k, self.lower, self.t), f"a {kind}, b {kind}, linked boolean")
+        checked = map_arrow(rows.select("a", "b", "text_a", "text_b"), _verify(self.k, self.lower, self.t), f"a {kind}, b {kind}, linked boolean")
         return materialise(checked.groupBy("a", "b").agg(F.max("linked").alias("linked")))
 
     def solve(self) -> DataFrame:

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hilbert import Dim, hilbert_shards
+from . import language_spans
 from .jaccard_join import jaccard_components
 from .mixing import mix, taken_words
 from .relative_lz import remove_repeats
 from .text import n_words
+from .trie_bpe import encode_texts, read_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,6 +81,26 @@ def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@published
+def op9_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = encode_texts(table(spark, folder, "documents"), read_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json")))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@published
+def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language_spans.identify(docs)
+    return found.select("doc_id", language_spans.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

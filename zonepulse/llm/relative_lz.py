@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .filters import sketch, split_by
+from .shipping import map_arrow
 from .text import chunks, ranges
 
 SEED = 5
@@ -176,16 +177,16 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    seeds = rows.filter("id IS NOT NULL").mapInArrow(_seeds(window), f"seed bigint, id {kind}")
+    seeds = map_arrow(rows.filter("id IS NOT NULL"), _seeds(window), f"seed bigint, id {kind}")
     shared = seeds.groupBy("seed").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     hits = materialise(seeds.join(shared.select("seed"), "seed").select("id", "seed"))
     near, far = split_by(rows, "id", materialise(sketch(hits.select("id").distinct(), "id")))
     listed = hits.groupBy("id").agg(F.collect_list("seed").alias("seeds"))
     with_seeds = near.join(listed, "id").select("id", "text", "seeds")
-    runs = materialise(with_seeds.mapInArrow(_windows(window), f"run bigint, id {kind}"))
+    runs = materialise(map_arrow(with_seeds, _windows(window), f"run bigint, id {kind}"))
     index = runs.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     found = runs.join(index, "run").filter("id > low").groupBy("id").agg(F.collect_list("run").alias("runs"))
     parsed = near.join(found, "id", "left").select("id", "text", "runs")
     out = f"id {kind}, n_words bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept string"
-    whole = far.select("id", "text").mapInArrow(_parse(window), out)
-    return parsed.mapInArrow(_parse(window), out).unionByName(whole).withColumnRenamed("id", id_col)
+    whole = map_arrow(far.select("id", "text"), _parse(window), out)
+    return map_arrow(parsed, _parse(window), out).unionByName(whole).withColumnRenamed("id", id_col)
