@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hilbert import Dim, hilbert_shards
-from . import language_spans
+from . import language_spans, multi_index
 from .jaccard_join import jaccard_components
 from .mixing import mix, taken_words
 from .relative_lz import remove_repeats
 from .text import n_words
 from .trie_bpe import encode_texts, read_vocabulary
+from .warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@published
+def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = multi_index.usable(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    return multi_index.search(vectors, vectors.filter("id % 20 = 0"), k=20)
+
+
+@published
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    read = archive_pages(spark, table(spark, folder, "pages"), least_bytes=0)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @published
 def op4_relative_lz(spark: SparkSession, folder: str) -> DataFrame:
     parsed = remove_repeats(table(spark, folder, "documents"), window=13)
