@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .hilbert import Dim, hilbert_shards
-from . import language_spans, multi_index
+from . import language_spans, multi_index, outliers
 from .jaccard_join import jaccard_components
 from .mixing import mix, taken_words
 from .relative_lz import remove_repeats
@@ -29,6 +29,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@published
+def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return outliers.judge(docs).select(*columns)
+
+
 @published
 def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     vectors = multi_index.usable(table(spark, folder, "embeddings"), "vec_id", "embedding")
