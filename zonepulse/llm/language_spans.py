@@ -282,18 +282,19 @@ def _predict(shared, penalty: float):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(chunk.first, n),
+                        *(c.slice(chunk.first, n) for c in batch.columns[2:]),
                         names.take(pa.array(pick)),
                         pa.array(sure.astype(np.float64)),
                         pa.ListArray.from_arrays(pa.array(limits), spans),
                     ],
-                    ["id", "lang_pred", "score", "spans"],
+                    ["id", *batch.schema.names[2:], "lang_pred", "score", "spans"],
                 )
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, penalty: float = PENALTY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document (id, lang_pred, score, spans): its main language, the share of its
+def predict(docs: DataFrame, model: Model, penalty: float = PENALTY, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per document (id, columns in ``keep``, lang_pred, score, spans): its main language, the share of its
     letters in that language's spans (letters of a script that no language uses support none), and the spans in words, end exclusive.
 
     NULL texts and texts without a letter are ``und`` with score 0 and no spans; so is all
@@ -301,9 +302,10 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY, id_col: str
     Ids may be NULL or repeated, rows are handled one by one. An empty table gives no rows.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), *keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = f"id {kind}, lang_pred string, score double, spans array<struct<start: bigint, end: bigint, lang: string>>"
+    out = f"id {kind}{more}, lang_pred string, score double, spans array<struct<start: bigint, end: bigint, lang: string>>"
     return map_arrow(rows, _predict(shared, penalty), out).withColumnRenamed("id", id_col)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .blob_ledger import RULES, listed, scan_paths
 from .hilbert import Dim, hilbert_shards
 from . import language_spans, multi_index, outliers
 from .jaccard_join import jaccard_components
@@ -67,6 +69,17 @@ def op5_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@published
+def op6_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = scan_paths(docs, scratch_path(spark, "ledger"))
+    base = [r.kind for r in RULES if r.base]
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(listed(own), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 @published
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), k=4, threshold=(85, 100), lower=True)

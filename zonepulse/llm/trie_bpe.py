@@ -234,11 +234,12 @@ def _rows(data, most_chars: int = 2 << 20):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, to - at),
+                        *(c.slice(at, to - at) for c in batch.columns[2:]),
                         pa.array([c[0] for c in coded], pa.int64()),
                         pa.array([c[1] for c in coded], pa.string()),
                         pa.array(back, pa.string()),
                     ],
-                    ["id", "n_tokens", "ids", "decoded"],
+                    ["id", *batch.schema.names[2:], "n_tokens", "ids", "decoded"],
                 )
                 at = to
 
@@ -251,8 +252,8 @@ def read_vocabulary(spark: SparkSession, path: str) -> str:
         return f.read()
 
 
-def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document (id, n_tokens, ids, decoded); ``ids`` is decimal, joined by commas.
+def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per document (id, columns in ``keep``, n_tokens, ids, decoded); ``ids`` is decimal, joined by commas.
 
     ``vocabulary`` is the text of the file, a few MB, sent to each executor. NULL and
     empty texts have no ids and decode to an empty text. Ids may be NULL or repeated: rows
@@ -260,6 +261,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), *keep)
     data = spark.sparkContext.broadcast(vocabulary)
-    return map_arrow(rows, _rows(data), f"id {kind}, n_tokens bigint, ids string, decoded string").withColumnRenamed("id", id_col)
+    return map_arrow(rows, _rows(data), f"id {kind}{more}, n_tokens bigint, ids string, decoded string").withColumnRenamed("id", id_col)
