@@ -13,13 +13,14 @@ from .hilbert import Dim, hilbert_shards
 from . import language_spans, multi_index, outliers
 from .jaccard_join import jaccard_components
 from .mixing import mix, taken_words
+from .oracles import SQL
 from .relative_lz import remove_repeats
 from .text import n_words
 from .trie_bpe import encode_texts, read_vocabulary
 from .warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def published(build):
@@ -139,4 +140,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(SQL)
