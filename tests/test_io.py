@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +68,53 @@ def test_snapshots_by_name_and_own_period(spark, tmp_path):
     assert got == {"2019/03": ("1", 1, 1), "2018/03": ("00501", None, 1)}
 
 
+def test_snapshots_of_one_period_all_count(spark, tmp_path):
+    names = LISTING_RAW_SCHEMA.names
+    for name in ("a", "b"):
+        (tmp_path / f"{name} 1.csv").write_text(",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+    df = readers.snapshot_files(spark, {"2019/03": [str(tmp_path / "a 1.csv"), str(tmp_path / "b 1.csv")]}, LISTING_RAW_SCHEMA)
+    assert [r.Date for r in df.collect()] == ["2019/03"] * 2
+
+
+def test_header_must_fit(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("zip", T.StringType())])
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x/a.csv").write_text("zip,id\n10001,7\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.csv_table(spark, str(tmp_path / "x/a.csv"), schema).collect()
+    assert rows(readers.csv_by_name(spark, str(tmp_path / "x/a.csv"), schema)) == [(7, "10001")]
+    (tmp_path / "x/b.csv").write_text("id,zip\n9,10003\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.csv_by_name(spark, str(tmp_path / "x"), schema).collect()
+
+
+def test_tuple_text_refuses_what_it_cannot_hold(spark, tmp_path):
+    df = spark.createDataFrame([(1, "05, MANHATTAN", 2.5)], SCHEMA)
+    with pytest.raises(Exception, match="cannot hold"):
+        writers.tuple_text(df, str(tmp_path / "x"))
+    (tmp_path / "y").write_text("(1,a,b,2.5)\n")
+    with pytest.raises(Exception, match="another width"):
+        readers.tuple_text(spark, str(tmp_path / "y"), df.schema).collect()
+
+
+def test_multiline_files_are_bounded_in_bytes(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "repeat('x', 1000) AS text").coalesce(1)
+    writers.csv_header(df, str(tmp_path / "x"), multiline=True, bytes_per_file=20_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "x").glob("part-*.csv")]
+    assert len(sizes) >= 5 and max(sizes) <= 20_000
+    assert readers.csv_table(spark, str(tmp_path / "x"), df.schema, multiline=True).count() == 100
+
+
+def test_scratch_goes(spark):
+    from zonepulse.session import clear_scratch
+
+    stored = materialise(spark.range(5))
+    path = stored.inputFiles()[0].removeprefix("file:").removeprefix("//").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    clear_scratch(spark)
+    assert not os.path.exists(path)
+
+
 def test_enforce_schema(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     declared = T.StructType([T.StructField("y", T.StringType()), T.StructField("x", T.LongType())])

@@ -28,28 +28,33 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_attach_salted_equals_broadcast(skewed, how):
+def test_attach_and_salted_join_agree(spark, skewed, how):
     facts, per_key = skewed
     keys = ["month", "zone"]
     plain = facts.join(per_key, keys, how).select("id", *keys, "price", "signal")
-    small = joins.attach(facts, per_key, keys, ["id"], how)
-    large = joins.attach(facts, per_key, keys, ["id"], how, broadcast_rows=10)
     columns = ["id", *keys, "price", "signal"]
-    assert rows(small.select(columns)) == rows(large.select(columns)) == rows(plain)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        attached = joins.attach(facts, per_key, keys, how)
+        assert "BroadcastHashJoin" not in attached._jdf.queryExecution().executedPlan().toString()  # the session's word counts
+        assert rows(attached.select(columns)) == rows(joins.salted_join(facts, per_key, keys, ["id"], how).select(columns)) == rows(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
 
+def test_salts_follow_the_size_of_the_key(skewed):
+    facts, _ = skewed
+    hot = {(r.month, r.zone): r._salts for r in joins.hot_keys(facts, ["month", "zone"], share=20).collect()}
+    assert hot == {("2018-01", "hot"): 7}  # a third of the rows, in twentieths
+
+
+def test_attach_writes_nothing(spark, skewed, tmp_path):
+    from zonepulse import session
 
-def test_salt_spreads_a_hot_key(skewed):
     facts, per_key = skewed
-    hot = facts.filter(F.col("zone") == "hot").repartition(40)
-    for by in (["id"], ["zone"]):  # rows that differ, and copies that do not
-        joined = joins.salted_join(hot, per_key.withColumn("copy", F.lit(1)), ["month", "zone"], by)
-        plan = joined._jdf.queryExecution().optimizedPlan().toString()
-        assert "spark_partition_id" in plan or "SPARK_PARTITION_ID" in plan
-        assert joined.count() == 1000
-        salt = F.pmod(F.xxhash64(*by, F.spark_partition_id()), F.lit(joins.SALTS))
-        sizes = [r["count"] for r in hot.groupBy(salt.alias("s")).count().collect()]
-        assert len(sizes) > joins.SALTS / 2 and max(sizes) < 4 * 1000 / joins.SALTS
+    before = list(session._scratch)
+    joins.attach(facts, per_key, ["month", "zone"]).count()
+    assert session._scratch == before
 
 
 def test_absent_keys(skewed):
@@ -97,11 +102,23 @@ def test_correlation_far_from_zero(spark):
 def test_correlation_undefined_is_null(spark):
     facts = spark.createDataFrame([("2018-01", "a", 1.0), ("2018-01", "b", 2.0), ("2018-02", "a", None)], "month string, zone string, price double")
     signals = spark.createDataFrame([("2018-01", "a", 0.1), ("2018-01", "b", 0.1)], "month string, zone string, s double")
-    assert rows(correlate_by_shift(facts, signals, [0, 9], "price", ["s"])) == [(0, 2, None)]
+    assert rows(correlate_by_shift(facts, signals, [0, 9], "price", ["s"])) == [(0, 2, 2, None)]
     joined = facts.join(signals, ["month", "zone"])
     assert joined.agg(pearson("price", "s")).first()[0] is None
 
 
+def test_correlation_leaves_out_null_signals(skewed):
+    facts, per_key = skewed
+    gaps = per_key.withColumn("other", F.when(F.length("zone") != 2, F.col("signal") + 1)).withColumn("none", F.lit(None).cast("double"))
+    got = correlate_by_shift(facts, gaps, [0], "price", ["signal", "other", "none"]).first()
+    joined = facts.join(gaps, ["month", "zone"])
+    for name in ("signal", "other"):
+        n, corr = joined.filter(F.col(name).isNotNull()).agg(F.count("*"), F.corr("price", name)).first()
+        assert got[f"n_{name}"] == n and got[f"corr_{name}"] == pytest.approx(corr, abs=1e-6)
+    assert got["n"] == joined.count() > got["n_other"] > 0
+    assert got["n_none"] == 0 and got["corr_none"] is None
+
+
 def test_pearson_skips_pairs_with_a_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.5), (3.0, 5.0), (None, 100.0), (9.0, None)], "a double, b double")
     expected = df.na.drop().agg(F.corr("a", "b")).first()[0]
@@ -144,14 +161,14 @@ def test_unit_price_without_area(spark):
 
 def test_profile(spark):
     df = spark.createDataFrame([(1, "a", -0.0), (2, None, 0.0), (2, "b", None)], "i int, s string, d double")
-    got = {r["column_name"]: tuple(r)[1:] for r in profile.profile_table(df).collect()}
+    got = {r["column_name"]: tuple(r)[1:] for r in profile.profile_table(df, exact=True).collect()}
     assert got == {"i": (3, 0, 2, "1", "2"), "s": (3, 1, 2, "a", "b"), "d": (3, 1, 1, "0.0", "0.0")}
     assert [tuple(r) for r in profile.schema_rows(df).collect()] == [(0, "i", "int", 3), (1, "s", "string", 2), (2, "d", "double", 2)]
 
 
 def test_approximate_distinct_is_close(spark):
     df = spark.range(50_000).select((F.col("id") % 9000).alias("a"), (F.col("id") % 7).alias("b"))
-    exact = {r[0]: r[1] for r in profile.distinct_counts(df, ["a", "b"]).collect()}
+    exact = {r[0]: r[1] for r in profile.distinct_counts(df, ["a", "b"], exact=True).collect()}
     near = {r[0]: r[1] for r in profile.distinct_counts(df, ["a", "b"], exact=False).collect()}
     assert exact == {"a": 9000, "b": 7}
     assert all(math.isclose(near[c], exact[c], rel_tol=0.08) for c in exact)

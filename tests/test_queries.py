@@ -14,9 +14,8 @@ from tools.check import connect, difference  # noqa: E402
 
 QUERIES = contract.queries()
 TWINS = contract.oracle_sql()
-MODELS = [n for n in QUERIES if n not in TWINS and n != "approx_distinct_counts"]
-# Full-size fits are timed by the check tool and the bench.
-SLOW = {"fit_gbt", "fit_forest", "model_compare"}
+# Queries of the optional sub-package have their own tests.
+OWN = [n for n in TWINS if n not in contract.optional()]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +25,7 @@ def duck():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", list(TWINS))
+@pytest.mark.parametrize("name", OWN)
 def test_equals_sql(spark, data, duck, name):
     df = QUERIES[name](spark, data)
     assert difference(df, duck, TWINS[name]) is None
@@ -35,9 +34,8 @@ def test_equals_sql(spark, data, duck, name):
         assert banned not in plan
 
 
-@pytest.mark.parametrize("name", [n for n in MODELS if n not in SLOW])
-def test_models_give_rows(spark, data, name):
-    assert QUERIES[name](spark, data).count() > 0
+def test_every_own_query_has_a_twin():
+    assert set(OWN) == set(QUERIES) - contract.optional()
 
 
 def test_entry(spark):
@@ -48,6 +46,6 @@ def test_entry(spark):
 
 def test_scores_only_where_a_record_exists(spark, data):
     scored = QUERIES["score_requests"](spark, data)
-    assert scored.filter("(status = 'ok') <> (prediction IS NOT NULL)").count() == 0
+    assert scored.filter("(status = 'ok') <> has_prediction").count() == 0
     assert scored.filter("status <> 'ok'").count() > 0
     assert scored.count() == spark.read.parquet(f"{data}/orders.parquet").count()

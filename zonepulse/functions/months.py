@@ -31,14 +31,15 @@ def in_month(c: Column | str, month: str) -> Column:
 
 
 def format_month(c: Column | str) -> Column:
-    """``M/d/y`` to ``yyyy-MM``; the year may have 1, 2 or 4 digits, else NULL.
+    """``M/d/y`` to ``yyyy-MM``; the month must be 1 to 12 and the year have 1, 2 or 4
+    digits, else NULL.
 
     Left-padding with "200" completes all three widths: 3 -> 2003, 13 -> 2013.
     """
     c = as_col(c)
     month = F.lpad(F.regexp_extract(c, _US_DATE, 1), 2, "0")
     year = F.lpad(F.regexp_extract(c, _US_DATE, 2), 4, "200")
-    return F.when(c.rlike(_US_DATE), F.concat(year, F.lit("-"), month))
+    return F.when(c.rlike(_US_DATE) & month.between("01", "12"), F.concat(year, F.lit("-"), month))
 
 
 def shift_month(c: Column | str, k: Column | int) -> Column:

@@ -9,8 +9,9 @@ from . import as_col
 
 INT_TEXT = r"^[+-]?\d+$"
 DOUBLE_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-# The unsigned decimal the sale audit accepts.
+# --- fixed values: the unsigned decimal the sale audit accepts ---
 PLAIN_NUMBER = r"^([0-9]*[.])?[0-9]+$"
+# --- end of fixed values ---
 
 _MARK = "\u0001"
 _ESCAPE = "\u0002"

@@ -11,7 +11,9 @@
     python -m zonepulse.jobs train            --neighbourhood ... --listings ... --models models --output metrics
     python -m zonepulse.jobs score            --requests ... --neighbourhood ... --model models/forest --output scores
 
-Stages pass Parquet to each other.
+Stages pass Parquet to each other, or with ``--format`` the study's text forms: ``tuple``
+(lines of ``(a,b,c)``), ``csv`` (no header) or ``titled`` (CSV with a header line).
+``--input-format`` says what the inputs of a stage are.
 """
 
 from __future__ import annotations
@@ -20,20 +22,31 @@ import argparse
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import learning, profile, quality
+from .operators import aggregates, learning, profile, quality
 from .plans import complaints, listings, sales, study
-from .schemas import COMPLAINT_WIDTH, LISTING_RAW_SCHEMA, REQUEST_SCHEMA, SALE_RAW_SCHEMA
-from .session import build_session
+from .schemas import (
+    COMPLAINT_SCHEMA,
+    COMPLAINT_WIDTH,
+    LISTING_RAW_SCHEMA,
+    LISTING_SCHEMA,
+    REQUEST_SCHEMA,
+    SALE_MEAN_SCHEMA,
+    SALE_PRICE,
+    SALE_RAW_SCHEMA,
+)
+from .session import build_session, clear_scratch
 from .sources import readers, writers
 
 ESTIMATORS = {"linear": learning.linear, "boosted_trees": learning.boosted_trees, "forest": learning.forest}
+FORMATS = ["parquet", "tuple", "csv", "titled"]
 SHEET_NAME = r"(?:^|[/_])(manhattan|bronx|brooklyn|queens|statenisland)_(?:year_)?(\d{4}|rolling)"
 
 
 def clean_complaints(spark: SparkSession, a) -> DataFrame:
     lines = readers.text_lines(spark, a.input)
-    width = a.width or complaints.header_width(lines)
+    width = complaints.header_width(lines) if a.width == "infer" else int(a.width)
     if a.report:
         writers.parquet_table(quality.attrition(complaints.split_lines(lines), complaints.line_rules(width)), a.report, mode=a.mode)
     return complaints.clean(lines, width)
@@ -42,6 +55,12 @@ def clean_complaints(spark: SparkSession, a) -> DataFrame:
 def sort_sheets(spark: SparkSession, a) -> None:
     """Decoded sheets, named by district and year, to one directory per both."""
     raw = readers.named_files(spark, a.input, SALE_RAW_SCHEMA, SHEET_NAME, {"district": "string", "year": "string"})
+    if a.unnamed:
+        writers.parquet_table(raw.filter("district IS NULL OR year IS NULL"), a.unnamed, mode=a.mode)
+    elif not raw.filter("district IS NULL OR year IS NULL").isEmpty():
+        raise SystemExit("some file names tell no district and year; name a folder for their rows with --unnamed")
+    if not a.rolling_year and not raw.filter("year = 'rolling'").isEmpty():
+        raise SystemExit("there are rolling sheets; say with --rolling-year which year of them to keep")
     rows = sales.sheet_rows(raw.filter("year <> 'rolling'"))
     if a.rolling_year:
         current = sales.sheet_rows(raw.filter("year = 'rolling'"), only_year=a.rolling_year[-2:])
@@ -64,14 +83,33 @@ def clean_sales(spark: SparkSession, a) -> DataFrame:
 
 
 def clean_listings(spark: SparkSession, a) -> DataFrame:
-    raw = readers.snapshot_files(spark, dict(s.split("=", 1) for s in a.snapshot), LISTING_RAW_SCHEMA, listings.TAG)
+    files: dict[str, list[str]] = {}
+    for given in a.snapshot:
+        period, _, path = given.partition("=")
+        files.setdefault(period, []).append(path)
+    raw = readers.snapshot_files(spark, files, LISTING_RAW_SCHEMA, listings.TAG)
     if a.report:
         writers.parquet_table(quality.attrition(raw, listings.row_rules()), a.report, mode=a.mode)
     return listings.clean(raw)
 
 
 def profile_job(spark: SparkSession, a) -> DataFrame:
-    return profile.profile_table(readers.parquet_table(spark, a.input), exact=not a.approximate)
+    return profile.profile_table(readers.parquet_table(spark, a.input), exact=a.exact)
+
+
+def domains(spark: SparkSession, a) -> DataFrame:
+    """(column, value) of every distinct value of the given columns."""
+    rows = readers.parquet_table(spark, a.input)
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in a.column)))
+    return rows.select(each.alias("x")).select("x.*").distinct()
+
+
+def areas(spark: SparkSession, a) -> DataFrame:
+    """Per zone: listings with their price statistics, complaints, and mean unit price."""
+    prices = aggregates.level_by(_keyed_listings(spark, a), ["zone"], "price", "price")
+    reported = _keyed_complaints(spark, a).groupBy("zone").agg(F.count(F.lit(1)).alias("complaints"))
+    means = _sale_means(spark, a).groupBy("zone").agg(F.avg(SALE_PRICE).alias(SALE_PRICE))
+    return prices.join(reported, "zone", "full").join(means, "zone", "full")
 
 
 def overview(spark: SparkSession, a) -> DataFrame:
@@ -81,22 +119,24 @@ def overview(spark: SparkSession, a) -> DataFrame:
 
 
 def correlate(spark: SparkSession, a) -> DataFrame:
-    means = readers.parquet_table(spark, a.sales)
+    means = _sale_means(spark, a)
     shifts = list(range(a.first_shift, a.last_shift + 1))
     return study.correlations(_keyed_listings(spark, a), _keyed_complaints(spark, a), means, shifts)
 
 
 def neighbourhood(spark: SparkSession, a) -> DataFrame:
-    return study.neighbourhood_profile(_keyed_complaints(spark, a), readers.parquet_table(spark, a.sales), a.shift)
+    return study.neighbourhood_profile(_keyed_complaints(spark, a), _sale_means(spark, a), a.shift)
 
 
 def train(spark: SparkSession, a) -> DataFrame:
-    clean = readers.parquet_table(spark, a.listings).selectExpr("*", "xxhash64(*) AS listing_id")
+    clean = _read(spark, a.listings, LISTING_SCHEMA, a.input_format).selectExpr("*", "xxhash64(*) AS listing_id")
     rows = listings.features(clean, carry=("listing_id",))
-    frame = study.training_frame(rows, readers.parquet_table(spark, a.neighbourhood), ["listing_id"], carry=("listing_id",))
+    frame = study.training_frame(rows, readers.parquet_table(spark, a.neighbourhood), carry=("listing_id",))
     report, models = learning.compare(frame, "listing_id", {n: ESTIMATORS[n]() for n in a.estimator or ESTIMATORS})
     for name, model in models.items():
         learning.save_model(model, f"{a.models}/{name}")
+        weights = learning.coefficients if name == "linear" else learning.importances
+        writers.parquet_table(weights(spark, model), f"{a.models}/{name}_weights", mode=a.mode)
     return report
 
 
@@ -106,11 +146,32 @@ def score(spark: SparkSession, a) -> DataFrame:
 
 
 def _keyed_complaints(spark: SparkSession, a) -> DataFrame:
-    return complaints.keyed(readers.parquet_table(spark, a.complaints))
+    return complaints.keyed(_read(spark, a.complaints, COMPLAINT_SCHEMA, a.input_format))
 
 
 def _keyed_listings(spark: SparkSession, a) -> DataFrame:
-    return listings.keyed(readers.parquet_table(spark, a.listings), "price")
+    return listings.keyed(_read(spark, a.listings, LISTING_SCHEMA, a.input_format), "price")
+
+
+def _sale_means(spark: SparkSession, a) -> DataFrame:
+    return _read(spark, a.sales, SALE_MEAN_SCHEMA, a.input_format)
+
+
+def _read(spark: SparkSession, path: str, schema, form: str) -> DataFrame:
+    if form == "parquet":
+        return readers.parquet_table(spark, path)
+    if form == "tuple":
+        return readers.tuple_text(spark, path, schema)
+    return readers.csv_table(spark, path, schema, header=form == "titled")
+
+
+def _write(result: DataFrame, path: str, form: str, mode: str) -> None:
+    if form == "parquet":
+        writers.parquet_table(result, path, mode=mode)
+    elif form == "tuple":
+        writers.tuple_text(result, path, mode=mode)
+    else:
+        writers.csv_header(result, path, header=form == "titled", mode=mode)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -122,15 +183,18 @@ def parser() -> argparse.ArgumentParser:
         for i in inputs:
             p.add_argument(f"--{i}", required=True)
         p.add_argument("--output", required=True)
+        p.add_argument("--format", default="parquet", choices=FORMATS)
+        p.add_argument("--input-format", default="parquet", choices=FORMATS)
         p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
         p.set_defaults(run=run)
         return p
 
     p = job("clean-complaints", clean_complaints, "input")
-    p.add_argument("--width", type=int, help=f"cells per line; read from the first line if not given (usually {COMPLAINT_WIDTH})")
+    p.add_argument("--width", default=str(COMPLAINT_WIDTH), help="cells per line, or 'infer' to take the first line's number")
     p.add_argument("--report")
     p = job("sort-sheets", sort_sheets, "input")
     p.add_argument("--rolling-year", help="the one year to keep of the rolling sheets")
+    p.add_argument("--unnamed", help="where rows of files go whose names tell no district and year")
     p = job("clean-sales", clean_sales, "input")
     p.add_argument("--report")
     p.add_argument("--rejects")
@@ -138,7 +202,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--snapshot", action="append", required=True, metavar="yyyy/MM=path")
     p.add_argument("--report")
     p = job("profile", profile_job, "input")
-    p.add_argument("--approximate", action="store_true")
+    p.add_argument("--exact", action="store_true", help="exact distinct counts instead of sketches")
+    p = job("domains", domains, "input")
+    p.add_argument("--column", action="append", required=True)
+    job("areas", areas, "complaints", "sales", "listings")
     job("overview", overview, "complaints", "sheets", "listings")
     p = job("correlate", correlate, "complaints", "sales", "listings")
     p.add_argument("--first-shift", type=int, default=study.SHIFTS[0])
@@ -153,9 +220,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
-    result = a.run(spark or build_session("zonepulse"), a)
-    if result is not None:
-        writers.parquet_table(result, a.output, mode=a.mode)
+    spark = spark or build_session("zonepulse")
+    try:
+        result = a.run(spark, a)
+        if result is not None:
+            _write(result, a.output, a.format, a.mode)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -53,29 +53,33 @@ def correlate_by_shift(
 
     Both inputs are reduced to one row per (month, zone) first. The joined key-level
     frame is stored once; the weighted means of each shift are taken from it and then
-    the centred products, which keeps full precision. Shifts without a common key
-    give no row.
+    the centred products, which keeps full precision. ``n`` counts the facts of all
+    matched keys, ``n_<signal>`` those whose key has the signal; a NULL signal takes its
+    facts out of its own correlation only. Shifts without a common key give no row.
     """
     moved = shifted_all(signals.select(month, zone, *signal_columns), shifts, month)
     matched = materialise(moved.join(key_moments(facts, [month, zone], value), [month, zone]).drop(month, zone))
-    n = F.col("n")
+    weight = {s: F.when(F.col(s).isNotNull(), F.col("n")) for s in signal_columns}
     centres = matched.groupBy("shift").agg(
-        (F.sum(n * F.col("mean")) / F.sum(n)).alias("centre"),
-        *((F.sum(n * F.col(s)) / F.sum(n)).alias(f"centre_{s}") for s in signal_columns),
+        *((F.sum(w * F.col("mean")) / F.sum(w)).alias(f"level_{s}") for s, w in weight.items()),
+        *((F.sum(w * F.col(s)) / F.sum(w)).alias(f"centre_{s}") for s, w in weight.items()),
     )
     # One row per requested shift, so the broadcast is bounded by the argument.
     centred = matched.join(F.broadcast(centres), "shift")
-    off = F.col("mean") - F.col("centre")
-    total = F.sum(F.col("spread") + n * off * off)
     return centred.groupBy("shift").agg(
-        F.sum(n).alias("n"),
-        *(_weighted(n, off, total, s, place) for s in signal_columns),
+        F.sum("n").alias("n"),
+        *(F.coalesce(F.sum(w), F.lit(0)).alias(f"n_{s}") for s, w in weight.items()),
+        *(_weighted(w, s, place) for s, w in weight.items()),
     )
 
 
-def _weighted(n: Column, off: Column, total: Column, signal: str, place: int) -> Column:
+def _weighted(weight: Column, signal: str, place: int) -> Column:
+    """The correlation with one signal over the keys that have it."""
+    here = lambda c: F.when(F.col(signal).isNotNull(), c)
+    off = F.col("mean") - F.col(f"level_{signal}")
     away = F.col(signal) - F.col(f"centre_{signal}")
-    scale = F.sqrt(total) * F.sqrt(F.sum(n * away * away))
-    varies = (F.min(signal) < F.max(signal)) & (F.min("low") < F.max("high"))
-    ratio = F.try_divide(F.sum(n * off * away), scale)
+    total = F.sum(here(F.col("spread")) + weight * off * off)
+    scale = F.sqrt(total) * F.sqrt(F.sum(weight * away * away))
+    varies = (F.min(signal) < F.max(signal)) & (F.min(here(F.col("low"))) < F.max(here(F.col("high"))))
+    ratio = F.try_divide(F.sum(weight * off * away), scale)
     return F.when(varies, F.round(ratio, place)).alias(f"corr_{signal}")

@@ -8,48 +8,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.months import shift_month
-from ..session import materialise
-
-# An aggregate up to this many rows is sent to every executor (about 20 MB at a
-# hundred bytes a row); a larger one is joined by a salted shuffle.
-BROADCAST_ROWS = 200_000
-SALTS = 16
-
-
-def attach(
-    facts: DataFrame,
-    per_key: DataFrame,
-    keys: list[str],
-    spread_by: list[str],
-    how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+# A key with more than one in so many of the rows is hot; so there are fewer hot keys than this.
+HOT_SHARE = 200
+
+
+def attach(facts: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join facts, many per key, with an aggregate that has one row per key.
 
-    The aggregate is evaluated once and counted. When small it is broadcast and the
-    facts are not moved at all. Otherwise both sides are shuffled on the keys plus a
-    salt taken from ``spread_by``: a key with a large share of the facts is then
-    spread over ``salts`` tasks, and the aggregate is copied that many times.
+    No hint: the planner broadcasts the aggregate while its measured size is under the
+    session's threshold, and else the runtime splits skewed partitions of the facts.
     """
-    per_key = materialise(per_key)
-    if per_key.count() <= broadcast_rows:
-        return facts.join(F.broadcast(per_key), keys, how)
-    return salted_join(facts, per_key, keys, spread_by, how, salts)
+    return facts.join(per_key, keys, how)
+
+
+def hot_keys(facts: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
+    """(keys, ``_salts``) of the keys with more than one in ``share`` of the rows: as many
+    salts as the key has such shares, so that each salt is about one share."""
+    total = facts.count()
+    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") * share > total)
+    return counts.select(*keys, F.ceil(F.col("_n") * share / F.lit(max(total, 1))).cast("int").alias("_salts"))
 
 
 def salted_join(
-    facts: DataFrame, per_key: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner", salts: int = SALTS
+    facts: DataFrame, per_key: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner", share: int = HOT_SHARE
 ) -> DataFrame:
-    """Equi-join with the hot keys of ``facts`` spread over ``salts`` tasks.
+    """``attach`` for sessions without runtime re-planning: the measured hot keys of
+    ``facts`` are spread over tasks, and only their rows of ``per_key`` are copied.
 
     The salt is a hash of row values and the number of the task that reads them: copies
     of one row are spread too, and a recomputed task gives the same salts.
     """
+    hot = F.broadcast(hot_keys(facts, keys, share))  # fewer than ``share`` rows
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread = F.xxhash64(*spread_by, F.spark_partition_id())
-    salted_facts = facts.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(copies, [*keys, "_salt"], how).drop("_salt")
+    salted = facts.join(hot, keys, "left").withColumn("_salt", F.pmod(spread, salts).cast("int")).drop("_salts")
+    copies = per_key.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
 def shifted(df: DataFrame, k: int, month: str = "month") -> DataFrame:

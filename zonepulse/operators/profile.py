@@ -27,7 +27,7 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
-def distinct_counts(df: DataFrame, columns: list[str], exact: bool = True, rsd: float = 0.02) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: list[str], exact: bool = False, rsd: float = 0.02) -> DataFrame:
     """(column_name, n_distinct). ``exact=False`` uses mergeable sketches, which need
     no shuffle of the values: the choice for many or high-cardinality columns."""
     if exact:
@@ -67,7 +67,7 @@ def schema_rows(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
-def profile_table(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+def profile_table(df: DataFrame, columns: list[str] | None = None, exact: bool = False) -> DataFrame:
     """Rows, NULLs, distinct values and range of each column."""
     distinct = F.count_distinct if exact else (lambda c: F.approx_count_distinct(c, 0.02))
     return _rows(

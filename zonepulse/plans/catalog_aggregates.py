@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.months import month_text
 from ..operators import aggregates, profile
-from ..operators.correlation import pearson
-from ..operators.joins import attach
+from ..operators.correlation import correlate_by_shift
 from ..schemas import COMPLAINT_TOTAL, SALE_PRICE
 from ..sources.readers import tagged_snapshots
 from . import complaints, roles, sales, study
@@ -93,12 +92,9 @@ def _corr_sql(a: str, b: str) -> str:
     FROM ({_JOINED})"""
 )
 def pearson_corr(t: Tables) -> DataFrame:
-    per_key = study.neighbourhood_profile(roles.complaints(t), _sale_means(t), shift=0)
-    joined = attach(roles.listings(t), per_key.select(*KEYS, SALE_PRICE, COMPLAINT_TOTAL), KEYS, ["listing_id"])
-    return joined.agg(
-        F.round(pearson("price", SALE_PRICE), 6).alias("corr_sale_price"),
-        F.round(pearson("price", COMPLAINT_TOTAL), 6).alias("corr_complaints"),
-    )
+    # The signals are constant within a key, so moments per key stand for the listings.
+    found = study.correlations(roles.listings(t), roles.complaints(t), _sale_means(t), shifts=[0])
+    return found.select(F.col(f"corr_{SALE_PRICE}").alias("corr_sale_price"), F.col(f"corr_{COMPLAINT_TOTAL}").alias("corr_complaints"))
 
 
 @query(
@@ -111,7 +107,28 @@ def pearson_corr(t: Tables) -> DataFrame:
     FROM x JOIN l USING (month, zone) GROUP BY shift"""
 )
 def corr_by_shift(t: Tables) -> DataFrame:
-    return study.correlations(roles.listings(t), roles.complaints(t), _sale_means(t))
+    found = study.correlations(roles.listings(t), roles.complaints(t), _sale_means(t))
+    return found.select("shift", "n", f"corr_{SALE_PRICE}", f"corr_{COMPLAINT_TOTAL}")
+
+
+@query(
+    f"""WITH l AS ({roles.DUCK_LISTINGS}),
+    s AS (SELECT month, zone, avg(CASE WHEN zone % 4 <> 1 THEN price / area END) AS u FROM ({roles.DUCK_SALES}) GROUP BY ALL),
+    c AS (SELECT month, zone, CASE WHEN zone % 5 <> 2 THEN count(*) END AS a FROM ({roles.DUCK_COMPLAINTS}) GROUP BY month, zone),
+    x AS (SELECT CAST(k AS INT) AS shift, {roles.DUCK_SHIFT.format(k='k')} AS month, zone, u, a
+          FROM s JOIN c USING (month, zone), range(0, 3) r(k))
+    SELECT shift, count(*) AS n, count(u) AS n_real_estate_price, count(a) AS n_all_type_complaint,
+      {_corr_sql("CASE WHEN u IS NOT NULL THEN price END", 'u')} AS corr_real_estate_price,
+      {_corr_sql("CASE WHEN a IS NOT NULL THEN price END", 'a')} AS corr_all_type_complaint
+    FROM x JOIN l USING (month, zone) GROUP BY shift"""
+)
+def corr_by_shift_nulls(t: Tables) -> DataFrame:
+    """Zones without a usable area have no sale price, others no complaint figure: each
+    signal is correlated over the listings that have it."""
+    rows = roles.sales(t).withColumn("area", F.when(F.col("zone") % 4 != 1, F.col("area")).otherwise(0.0))
+    signals = study.neighbourhood_profile(roles.complaints(t), sales.mean_unit_price(rows, KEYS), shift=0)
+    signals = signals.withColumn(COMPLAINT_TOTAL, F.when(F.col("zone") % 5 != 2, F.col(COMPLAINT_TOTAL)))
+    return correlate_by_shift(roles.listings(t), signals, [0, 1, 2], "price", [SALE_PRICE, COMPLAINT_TOTAL])
 
 
 @query("SELECT count(*) AS n_rows FROM lineitem")
@@ -134,12 +151,23 @@ def distinct_values(t: Tables) -> DataFrame:
     UNION ALL SELECT 'l_linenumber', count(DISTINCT l_linenumber) FROM lineitem"""
 )
 def distinct_counts(t: Tables) -> DataFrame:
-    return profile.distinct_counts(t.lineitem, ["l_shipdate", "l_returnflag", "l_suppkey", "l_linenumber"])
+    return profile.distinct_counts(t.lineitem, ["l_shipdate", "l_returnflag", "l_suppkey", "l_linenumber"], exact=True)
+
+
+_SKETCHED = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
-@query()
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_exact, TRUE AS sketch_is_close FROM lineitem" for c in _SKETCHED
+    )
+)
 def approx_distinct_counts(t: Tables) -> DataFrame:
-    return profile.distinct_counts(t.lineitem, ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"], exact=False)
+    """Sketches against exact counts: within four standard errors."""
+    near = profile.distinct_counts(t.lineitem, _SKETCHED, exact=False, rsd=0.02).withColumnRenamed("n_distinct", "n_near")
+    exact = profile.distinct_counts(t.lineitem, _SKETCHED, exact=True).withColumnRenamed("n_distinct", "n_exact")
+    close = F.abs(F.col("n_near") - F.col("n_exact")) <= 0.08 * F.col("n_exact")
+    return exact.join(near, "column_name").select("column_name", "n_exact", close.alias("sketch_is_close"))
 
 
 @query(
@@ -215,7 +243,7 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 
 @query(_profile_sql("orders", ORDER_COLUMNS))
 def profile_table(t: Tables) -> DataFrame:
-    return profile.profile_table(t.orders)
+    return profile.profile_table(t.orders, exact=True)
 
 
 LISTING_PROFILE = ["zipcode", "property_type", "bathrooms", "bedrooms", "price", "cleaning_fee"]
@@ -223,7 +251,7 @@ LISTING_PROFILE = ["zipcode", "property_type", "bathrooms", "bedrooms", "price",
 
 @query(_profile_sql(f"({roles.DUCK_RAW_LISTINGS})", LISTING_PROFILE))
 def profile_table_dirty(t: Tables) -> DataFrame:
-    return profile.profile_table(roles.raw_listings(t), LISTING_PROFILE)
+    return profile.profile_table(roles.raw_listings(t), LISTING_PROFILE, exact=True)
 
 
 @query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 10")

@@ -161,13 +161,14 @@ def dq_attrition_report(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH x AS (SELECT zip <> '' AS a, price <> '-' AS b, area NOT IN ('0', '- 5') AS c, price <> '- 0' AS d,
-      length(zip) = 5 AS e FROM ({roles.DUCK_RAW_SALES})),
+      length(zip) = 5 AS e, date <> '{roles.BAD_SALE_DATE}' AS f FROM ({roles.DUCK_RAW_SALES})),
     s AS (SELECT count(*) AS s0, count(*) FILTER (WHERE a) AS s1, count(*) FILTER (WHERE a AND b) AS s2,
       count(*) FILTER (WHERE a AND b AND c) AS s3, count(*) FILTER (WHERE a AND b AND c AND d) AS s4,
-      count(*) FILTER (WHERE a AND b AND c AND d AND e) AS s5 FROM x)
+      count(*) FILTER (WHERE a AND b AND c AND d AND e) AS s5, count(*) FILTER (WHERE a AND b AND c AND d AND e AND f) AS s6 FROM x)
     SELECT 0 AS step, 'all rows' AS rule, s0 AS surviving FROM s UNION ALL SELECT 1, 'required cells', s1 FROM s
     UNION ALL SELECT 2, 'numbers parse', s2 FROM s UNION ALL SELECT 3, 'area positive', s3 FROM s
-    UNION ALL SELECT 4, 'price positive', s4 FROM s UNION ALL SELECT 5, 'zip length', s5 FROM s"""
+    UNION ALL SELECT 4, 'price positive', s4 FROM s UNION ALL SELECT 5, 'zip length', s5 FROM s
+    UNION ALL SELECT 6, 'date parses', s6 FROM s"""
 )
 def dq_attrition_sales(t: Tables) -> DataFrame:
     return quality.attrition(sales.figures(sales.select_cells(roles.raw_sales(t))), sales.figure_rules())

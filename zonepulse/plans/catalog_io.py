@@ -48,7 +48,7 @@ def scan_glob_multi_dir(t: Tables) -> DataFrame:
 @query("SELECT doc_id, text, lang, source FROM documents")
 def scan_csv_multiline(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", "text", "lang", "source")
-    path = _through(t, rows, writers.csv_header, "multiline")
+    path = _through(t, rows, writers.csv_header, "multiline", multiline=True)
     return readers.csv_table(t.spark, path, rows.schema, multiline=True)
 
 
@@ -127,8 +127,9 @@ def enforce_schema(t: Tables) -> DataFrame:
 def snapshot_tag_union(t: Tables) -> DataFrame:
     rows = roles.raw_listings(t).withColumn("period", F.substring("Date", 1, 4)).drop("listing_id", "Date")
     path = _through(t, rows, writers.partitioned_csv, "snapshots", by=["period"], sep=",", header=True)
-    periods = [r[0] for r in rows.select("period").distinct().orderBy("period").collect()]
-    return readers.snapshot_files(t.spark, {p: f"{path}/period={p}" for p in periods}, LISTING_RAW_SCHEMA)
+    # The directories tell the periods; the rows are not evaluated again for them.
+    stored = t.spark.read.text(path).select("period").distinct().orderBy("period").collect()
+    return readers.snapshot_files(t.spark, {str(r[0]): [f"{path}/period={r[0]}"] for r in stored}, LISTING_RAW_SCHEMA)
 
 
 @query(f"SELECT nullif(zip, '') AS zip, price, district, year FROM ({roles.DUCK_RAW_SALES})")
@@ -181,7 +182,7 @@ def sink_parquet(t: Tables) -> DataFrame:
 
 @query(roles.DUCK_CLEAN_COMPLAINTS)
 def clean_complaints(t: Tables) -> DataFrame:
-    """Raw lines to clean records, stored as tuple text and read back typed."""
+    """Raw lines to clean records, stored as Parquet and read back."""
     path = scratch_path(t.spark, "complaints-raw")
     roles.raw_complaint_lines(t).write.text(path)
     cleaned = complaints.clean(readers.text_lines(t.spark, path))
@@ -191,7 +192,7 @@ def clean_complaints(t: Tables) -> DataFrame:
 
 @query(
     f"""SELECT month, zone, round({roles.DUCK_UNIT_PRICE}, 6) AS real_estate_price
-    FROM ({roles.DUCK_CLEAN_SALES.replace("WHERE", "WHERE first <> 'BOROUGH' AND")}) GROUP BY ALL"""
+    FROM ({roles.DUCK_CLEAN_SALES} AND first <> 'BOROUGH') GROUP BY ALL"""
 )
 def clean_sales(t: Tables) -> DataFrame:
     """Sheets by district and year to the mean unit price per month and zip."""

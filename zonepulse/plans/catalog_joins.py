@@ -35,7 +35,7 @@ def listing_rows(t: Tables) -> DataFrame:
 
 def training(t: Tables, neighbourhood: DataFrame | None = None) -> DataFrame:
     table = profile(t) if neighbourhood is None else neighbourhood
-    return study.training_frame(listing_rows(t), table, ["listing_id"], carry=("listing_id",))
+    return study.training_frame(listing_rows(t), table, carry=("listing_id",))
 
 
 _MONTH_TOTALS = f"SELECT month, count(*) AS all_type_complaint FROM ({roles.DUCK_COMPLAINTS}) GROUP BY 1"
@@ -58,7 +58,7 @@ def join_monthly_overview(t: Tables) -> DataFrame:
 def join_month_zone(t: Tables) -> DataFrame:
     totals = complaints.counts(roles.complaints(t), KEYS).select(*KEYS, COMPLAINT_TOTAL)
     per_key = combine([totals, _sale_means(t)], KEYS)
-    joined = attach(roles.listings(t), per_key, KEYS, spread_by=["listing_id"])
+    joined = attach(roles.listings(t), per_key, KEYS)
     return _rounded(joined).select("listing_id", *KEYS, "price", COMPLAINT_TOTAL, SALE_PRICE)
 
 
@@ -69,7 +69,7 @@ def join_month_zone(t: Tables) -> DataFrame:
 )
 def shifted_join(t: Tables) -> DataFrame:
     """Listings beside the sale price of three months before."""
-    joined = attach(roles.listings(t), shifted(_sale_means(t), 3), KEYS, spread_by=["listing_id"])
+    joined = attach(roles.listings(t), shifted(_sale_means(t), 3), KEYS)
     return _rounded(joined).select("listing_id", *KEYS, "price", SALE_PRICE)
 
 
@@ -112,7 +112,7 @@ def training_frame(t: Tables) -> DataFrame:
 )
 def score_lookup_left(t: Tables) -> DataFrame:
     rows = study.request_rows(roles.requests(t), carry=("request_id",))
-    looked_up = study.lookup(rows, profile(t), ["request_id"])
+    looked_up = study.lookup(rows, profile(t))
     return _rounded(looked_up).select("request_id", "status", COMPLAINT_TOTAL, SALE_PRICE)
 
 

@@ -37,7 +37,6 @@ def clean(raw: DataFrame, strip_commas: bool = True, carry: tuple[str, ...] = ()
     named = raw.withColumnRenamed("neighbourhood_group_cleansed", "borough")
     usable = (
         named.filter(rules.complete(*LISTING_FEES))
-        .filter("zipcode != ' '")
         .filter(rules.five_digits("zipcode"))
         .filter(rules.some_present(*LISTING_ROOMS))
         .filter(rules.at_least(LISTING_REVIEWS))

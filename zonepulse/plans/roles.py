@@ -231,6 +231,7 @@ WHERE NOT is_short AND last_cell <> '' AND id <> 'N/A' AND zip NOT IN ('', 'ABC'
 
 # --- raw sales ---------------------------------------------------------------
 
+BAD_SALE_DATE = "13/1/99"
 SALE_DISTRICT = choose("s_nationkey", ["manhattan", "bronx", "brooklyn", "queens", "statenisland"])
 
 
@@ -242,7 +243,7 @@ def raw_sale_cells(d) -> dict[str, str]:
         "ELSE CAST(10000 + s_nationkey AS STRING) END",
         "area": f"CASE WHEN l_orderkey % 13 = 0 THEN '0' WHEN l_orderkey % 17 = 0 THEN '- 5' ELSE {d.whole('l_quantity * 100')} END",
         "price": f"CASE WHEN l_orderkey % 11 = 0 THEN '-' WHEN l_orderkey % 7 = 0 THEN '- 0' ELSE {d.money('l_extendedprice')} END",
-        "date": d.date("l_shipdate", "short"),
+        "date": f"CASE WHEN l_partkey % 43 = 0 THEN '{BAD_SALE_DATE}' ELSE {d.date('l_shipdate', 'short')} END",
     }
 
 
@@ -266,7 +267,7 @@ DUCK_CLEAN_SALES = f"""SELECT '20' || split_part(date, '/', 3) || '-' || lpad(sp
   CAST(replace(area, ',', '') AS DOUBLE) AS area,
   CAST(replace(replace(price, '$', ''), ',', '') AS DOUBLE) AS price
 FROM ({DUCK_RAW_SALES})
-WHERE zip <> '' AND zip <> '1001' AND area NOT IN ('0', '- 5') AND price NOT IN ('-', '- 0')"""
+WHERE zip <> '' AND zip <> '1001' AND area NOT IN ('0', '- 5') AND price NOT IN ('-', '- 0') AND date <> '{BAD_SALE_DATE}'"""
 
 
 # --- scoring requests --------------------------------------------------------

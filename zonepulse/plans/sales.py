@@ -47,6 +47,7 @@ def figure_rules() -> Rules:
         ("area positive", rules.positive("area_value")),
         ("price positive", rules.positive("price_value")),
         ("zip length", rules.text_length(F.trim("zip"), 5)),
+        ("date parses", format_month(F.trim("date")).isNotNull()),
     ]
 
 

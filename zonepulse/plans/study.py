@@ -50,18 +50,17 @@ def neighbourhood_profile(complaints: DataFrame, sale_means: DataFrame, shift: i
 def correlations(
     listings: DataFrame, complaints: DataFrame, sale_means: DataFrame, shifts: list[int] = SHIFTS
 ) -> DataFrame:
-    """(shift, n, corr with the sale price, corr with the complaint total)."""
+    """Per shift: n and correlation with the sale price and with the complaint total."""
     signals = neighbourhood_profile(complaints, sale_means, shift=0)
     return correlate_by_shift(listings, signals, shifts, LABEL, [SALE_PRICE, COMPLAINT_TOTAL])
 
 
-def training_frame(listings: DataFrame, profile: DataFrame, spread_by: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+def training_frame(listings: DataFrame, profile: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per listing: 11 counts, sale price and 30 listing columns, by name.
 
-    ``listings`` come from ``plans.listings.features``. ``spread_by`` are columns
-    that tell listings of one key apart (an id, or price and fees).
+    ``listings`` come from ``plans.listings.features``.
     """
-    joined = attach(listings, profile, KEYS, spread_by)
+    joined = attach(listings, profile, KEYS)
     return joined.select(*carry, *TRAINING_COLUMNS)
 
 
@@ -79,9 +78,9 @@ def request_rows(requests: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def lookup(requests: DataFrame, profile: DataFrame, spread_by: list[str]) -> DataFrame:
+def lookup(requests: DataFrame, profile: DataFrame) -> DataFrame:
     """Every request with its neighbourhood's figures and a ``status``."""
-    found = attach(requests, profile, KEYS, spread_by, how="left")
+    found = attach(requests, profile, KEYS, how="left")
     key = F.concat(F.col("month"), F.lit("|"), F.col("zone"))
     return found.withColumn(
         "status",
@@ -94,7 +93,7 @@ def score(requests: DataFrame, profile: DataFrame, model: PipelineModel, id_colu
 
     Requests without a record or with an unreadable field get no prediction.
     """
-    looked_up = lookup(request_rows(requests, (id_column,)), profile, [id_column])
+    looked_up = lookup(request_rows(requests, (id_column,)), profile)
     readable = ~F.greatest(*(F.col(c).isNull() for c in LISTING_NUMERIC))
     checked = looked_up.withColumn(
         "status", F.when((F.col("status") == "ok") & ~readable, F.lit("unreadable field")).otherwise(F.col("status"))

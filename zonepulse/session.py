@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_scratch: list[str] = []
+
+
 def build_session(app: str = "zonepulse", master: str | None = None, **conf) -> SparkSession:
     """A session with the runtime re-planning features the operators count on.
 
@@ -33,20 +39,37 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
     ``spark.checkpoint.dir`` wins; a directory already set on the context comes
-    next; only where neither exists (tests, one machine) is a temporary one made.
+    next; only where neither exists and all runs on one machine is a temporary one made,
+    which goes with the process. On a cluster a missing folder is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current is None:
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="zonepulse-"))
+        if named is None:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="zonepulse-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
         current = sc.getCheckpointDir()
-    return named or current
+    return spark.conf.get("spark.checkpoint.dir", None) or current
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder for a write-then-read step."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the sub-folders that ``scratch_path`` has given out so far. For the end of a
+    job, when no frame that reads them is used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

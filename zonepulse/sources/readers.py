@@ -1,4 +1,5 @@
-"""Scans. Every reader takes a declared schema; nothing is inferred."""
+"""Scans. Types are always declared; where columns are found by name, only header lines are
+read for it, and a header that does not fit the schema fails."""
 
 from __future__ import annotations
 
@@ -30,6 +31,7 @@ def csv_table(
     with_file: bool = False,
 ) -> DataFrame:
     """A CSV scan with doubled quotes as escape. An empty cell, quoted or not, is NULL.
+    With ``header=True`` each file's header must name the schema's columns in order.
 
     ``multiline=True`` lets quoted cells hold line breaks; Spark then reads each
     file in one task, so such data should come in files of bounded size.
@@ -37,6 +39,7 @@ def csv_table(
     df = (
         spark.read.schema(schema)
         .option("header", header)
+        .option("enforceSchema", not header)
         .option("sep", sep)
         .option("escape", '"')
         .option("multiLine", multiline)
@@ -50,17 +53,18 @@ def csv_by_name(
 ) -> DataFrame:
     """Wanted columns of a wide CSV file picked by header name, then typed.
 
-    Only the header is read up front. A cell that does not parse becomes NULL.
+    Only the header is read up front. A file whose header differs from the first one's
+    fails the scan: read it on its own. A cell that does not parse becomes NULL.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+    raw = _titled(spark, path, multiline)
     return raw.select([_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema])
 
 
+def _titled(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
+    read = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    return read.option("multiLine", multiline).csv(path)
+
+
 def _typed(c, data_type: T.DataType):
     if isinstance(data_type, T.StringType):
         return c
@@ -72,8 +76,11 @@ def _typed(c, data_type: T.DataType):
 
 
 def tuple_text(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Lines of the form ``(a,b,c)`` as typed columns; an empty cell is NULL."""
+    """Lines of the form ``(a,b,c)`` as typed columns; an empty cell is NULL. A line with
+    another number of cells than the schema fails the scan: its cells have no sure place."""
     cells = text_lines(spark, path).select(tuple_cells("value").alias("cells"))
+    wrong = F.raise_error(F.concat(F.lit("tuple text of another width: "), F.array_join("cells", ",")))
+    cells = cells.select(F.when(F.size("cells") == len(schema), F.col("cells")).otherwise(wrong).alias("cells"))
     return cells.select(
         [
             _typed(F.nullif(F.get("cells", F.lit(i)), F.lit("")), f.dataType).alias(f.name)
@@ -108,10 +115,33 @@ def tagged_snapshots(frames: Mapping[str, DataFrame], tag: str = "Date") -> Data
 
 
 def snapshot_files(
-    spark: SparkSession, files: Mapping[str, str], schema: T.StructType, tag: str = "Date"
+    spark: SparkSession, files: Mapping[str, str | list[str]], schema: T.StructType, tag: str = "Date"
 ) -> DataFrame:
-    """``{period: path}`` of wide listing files whose column order may differ."""
-    return tagged_snapshots({p: csv_by_name(spark, path, schema) for p, path in files.items()}, tag)
+    """``{period: paths}`` of wide listing files whose column order may differ.
+
+    Files are grouped by their header; each group is one scan, in which the file's path
+    tells the period.
+    """
+    by_header: dict[tuple, list[tuple[str, str]]] = {}
+    for period, paths in files.items():
+        for path in [paths] if isinstance(paths, str) else paths:
+            names = tuple(_titled(spark, path, True).columns)
+            by_header.setdefault(names, []).append((period, path))
+    scans = []
+    for group in by_header.values():
+        raw = _titled(spark, [path for _, path in group], True)
+        file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        period = F.coalesce(*(F.when(_under(file, path), F.lit(p)) for p, path in group))
+        cells = [_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema]
+        scans.append(raw.select(*cells, period.alias(tag)))
+    return reduce(lambda a, b: a.unionByName(b), scans)
+
+
+def _under(file, path: str):
+    """Whether a file is the path, or lies below it; the file's path has a scheme."""
+    bare = path.split("://", 1)[-1].rstrip("/")
+    bare = bare if bare.startswith("/") or "://" in path else "/" + bare
+    return file.endswith(bare) | F.contains(file, F.lit(bare + "/"))
 
 
 def named_files(
@@ -126,11 +156,12 @@ def named_files(
     """One scan over many files whose names carry fields.
 
     ``pattern`` is matched against the file path; ``parts`` maps each new column
-    to its type, in the order of the pattern's groups.
+    to its type, in the order of the pattern's groups; they are NULL where the name
+    does not fit it.
     """
     df = csv_table(spark, path, schema, header=header, sep=sep, with_file=True)
     for i, (name, kind) in enumerate(parts.items(), start=1):
-        df = df.withColumn(name, F.regexp_extract(FILE, pattern, i).try_cast(kind))
+        df = df.withColumn(name, F.nullif(F.regexp_extract(FILE, pattern, i), F.lit("")).try_cast(kind))
     return df.drop(FILE)
 
 

@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Multi-line CSV cannot be split on reading, so no file may grow without bound.
-ROWS_PER_FILE = 200_000
+# Multi-line CSV cannot be split on reading, so its files are bounded in bytes.
+BYTES_PER_FILE = 128 << 20
 
 
 def tuple_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """``(a,b,c)`` lines; NULL is written as an empty cell."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    """``(a,b,c)`` lines; NULL is written as an empty cell. A cell with a comma or a line
+    break fails: the line could not be read back."""
+
+    def cell(c: str):
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        wrong = F.raise_error(F.concat(F.lit(f"tuple text cannot hold this cell of {c}: "), text))
+        return F.when(text.rlike(r"[,\r\n]"), wrong).otherwise(text)
+
+    cells = [cell(c) for c in df.columns]
     line = F.concat(F.lit("("), F.concat_ws(",", *cells), F.lit(")"))
     df.select(line.alias("value")).write.mode(mode).text(path)
 
@@ -22,10 +29,25 @@ def csv_plain(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def csv_header(
-    df: DataFrame, path: str, header: bool = True, sep: str = ",", mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    header: bool = True,
+    sep: str = ",",
+    mode: str = "errorifexists",
+    multiline: bool = False,
+    bytes_per_file: int = BYTES_PER_FILE,
 ) -> None:
-    """CSV that keeps every character of a cell: quotes doubled, blanks not trimmed."""
-    _csv_writer(df, header, sep, mode).csv(path)
+    """CSV that keeps every character of a cell: quotes doubled, blanks not trimmed.
+
+    ``multiline=True`` when cells may hold line breaks: the rows are measured in a pass of
+    their own, and files get as many of the longest as stay under ``bytes_per_file``.
+    """
+    writer = _csv_writer(df, header, sep, mode)
+    if multiline:
+        width = sum((F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) + 3 for c in df.columns), F.lit(0))
+        longest = df.agg(F.max(width)).first()[0] or 1
+        writer = writer.option("maxRecordsPerFile", max(1, bytes_per_file // longest))
+    writer.csv(path)
 
 
 def partitioned_csv(
@@ -54,5 +76,4 @@ def _csv_writer(df: DataFrame, header: bool, sep: str, mode: str):
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
     )
