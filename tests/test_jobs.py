@@ -51,6 +51,35 @@ def run(spark, folder, job, **options):
     main(args, spark)
 
 
+def test_two_files_of_one_period_both_count(spark, folder, tmp_path):
+    out = str(tmp_path / "listings")
+    run(spark, folder, "clean-listings", snapshot=[f"2019/03={folder}/listings{m}.csv" for m in (3, 4)], output=out)
+    back = spark.read.parquet(out)
+    assert back.count() == 2 * 4 * 12 and [r.Date for r in back.select("Date").distinct().collect()] == ["2019/03"]
+
+
+def test_rolling_and_unnamed_sheets_are_not_lost(spark, folder, tmp_path):
+    with pytest.raises(SystemExit, match="rolling"):
+        run(spark, folder, "sort-sheets", input=str(folder / "sheets/*.csv"), output=str(tmp_path / "a"))
+    odd = tmp_path / "sheets"
+    odd.mkdir()
+    (odd / "atlantis.csv").write_text((folder / "sheets/real_estate_queens_year_2019.csv").read_text())
+    with pytest.raises(SystemExit, match="unnamed"):
+        run(spark, folder, "sort-sheets", input=str(odd / "*.csv"), output=str(tmp_path / "b"))
+    run(spark, folder, "sort-sheets", input=str(odd / "*.csv"), output=str(tmp_path / "c"), unnamed=str(tmp_path / "odd"))
+    assert spark.read.parquet(str(tmp_path / "odd")).count() == 26
+
+
+def test_stages_exchange_the_text_forms(spark, folder, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    run(spark, folder, "clean-complaints", input=str(folder / "complaints.csv"), output=at("complaints"), format="titled")
+    run(spark, folder, "sort-sheets", input=str(folder / "sheets/*2019.csv"), output=at("by_year"))
+    run(spark, folder, "clean-sales", input=at("by_year/*/*/*.csv"), output=at("means"), format="titled")
+    run(spark, folder, "neighbourhood", complaints=at("complaints"), sales=at("means"), input_format="titled", output=at("area"), format="tuple")
+    lines = [r.value for r in spark.read.text(at("area")).collect()]
+    assert len(lines) == 24 and all(x.startswith("(2019-") and x.count(",") == 13 for x in lines)
+
+
 def test_study_from_raw_files(spark, folder):
     at = lambda name: str(folder / name)
     run(spark, folder, "clean-complaints", input=at("complaints.csv"), output=at("complaints"), report=at("complaint_steps"))
@@ -80,7 +109,12 @@ def test_study_from_raw_files(spark, folder):
     assert found[0]["n"] == found[2]["n"] == 144 and found[3]["n"] == 96 and 5 not in found
 
     run(spark, folder, "neighbourhood", complaints=at("complaints"), sales=at("means"), output=at("area"))
+    run(spark, folder, "areas", output=at("areas"), sales=at("means"), **both)
+    assert spark.read.parquet(at("areas")).count() == 4
+    run(spark, folder, "domains", input=at("listings"), output=at("domains"), column=["zipcode", "Date"])
+    assert spark.read.parquet(at("domains")).count() == 4 + 3
     run(spark, folder, "train", neighbourhood=at("area"), listings=at("listings"), models=at("models"), estimator=["linear", "forest"], output=at("metrics"))
+    assert spark.read.parquet(at("models/forest_weights")).count() == 41 and spark.read.parquet(at("models/linear_weights")).count() == 42
     metrics = spark.read.parquet(at("metrics")).collect()
     assert {r.model for r in metrics} == {"linear", "forest"} and all(r.rmse >= r.mae > 0 for r in metrics)
 

@@ -72,14 +72,19 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def materialise(df: DataFrame, files: int | None = None) -> DataFrame:
+def materialise(df: DataFrame, files: int | None = None, release: bool = False) -> DataFrame:
     """Evaluate once into a table in the shared folder and cut the lineage there.
 
     A lost executor costs nothing that was stored. The table is columnar, its row
     count comes from the file footers, and the planner sees its true size. ``files``
     bounds their number where the table is known to be small for its partitions.
+
+    Spark removes the shuffle files of what was evaluated when the driver's JVM collects
+    their handles; ``release`` asks for that now, where they are large.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     (df if files is None else df.coalesce(files)).write.parquet(path)
+    if release:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
