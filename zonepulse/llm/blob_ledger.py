@@ -46,6 +46,7 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
+BLOBS_PER_FILE = 1_000_000
 _MARK, _GROUP, _PLAIN = "\x01", "\x03", "\x02"
 
 
@@ -129,9 +130,12 @@ class Ledger:
             pairs = versions.select("blob").distinct().withColumn("rule", F.explode(wanted)).join(seen, ["blob", "rule"], "left_anti")
             pairs = materialise(pairs)
             todo = blobs.join(pairs.groupBy("blob").agg(F.collect_set("rule").alias("todo")), "blob")
+        # Both tables are small next to the texts: as many files as millions of versions.
+        files = 1 + versions.count() // BLOBS_PER_FILE
         version = F.element_at(F.create_map(*(x for r in rules for x in (F.lit(r.kind), F.lit(r.version)))), F.col("rule"))
-        scan(todo, rules).select("blob", "rule", version.alias("version"), "start", "end").write.mode("append").parquet(f"{self.folder}/found")
-        pairs.select("blob", "rule", version.alias("version")).write.mode("append").parquet(f"{self.folder}/scanned")
+        found = scan(todo, rules).select("blob", "rule", version.alias("version"), "start", "end")
+        found.repartition(files).write.mode("append").parquet(f"{self.folder}/found")
+        pairs.select("blob", "rule", version.alias("version")).coalesce(files).write.mode("append").parquet(f"{self.folder}/scanned")
 
     def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """(blob, spans) of the given rule versions, spans (start, place, kind, end) in order."""
