@@ -36,6 +36,7 @@ TAIL = 1e-6
 #: texts have no symbol or repeated line at all, and a few of them make no outlier.
 FLOORS = {"word_length": 0.05, "symbols": 0.8, "repeated_lines": 1.0, "repeated_words": 1.2, "length": 0.5}
 DIMS = list(FLOORS)
+GROUPS_PER_FILE = 10_000
 _BINS = 16  # per doubling of the squared distance
 
 
@@ -175,9 +176,9 @@ def _factored(params: DataFrame) -> DataFrame:
     return params
 
 
-def _stored(params: DataFrame, by: list[str]) -> DataFrame:
+def _stored(params: DataFrame, by: list[str], groups: int) -> DataFrame:
     kept = [*by, *(f"m_{d}" for d in DIMS), *(f"l_{d}_{e}" for i, d in enumerate(DIMS) for e in DIMS[: i + 1])]
-    return materialise(_factored(params).select(*kept))
+    return materialise(_factored(params).select(*kept), files=1 + groups // GROUPS_PER_FILE)
 
 
 def _distances(rows: DataFrame, params: DataFrame, by: list[str]) -> DataFrame:
@@ -215,8 +216,9 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     """Mean and Cholesky factor per ``key`` of rows (key, statistics as whole numbers)."""
     by = ["key", "start"]
     p = len(DIMS)
+    groups = rows.select("key").distinct().count()
     classic = _moments(rows, ["key"], 1.0).drop("n").withColumn("start", F.lit(1))
-    params = _stored(_quartile_start(rows).withColumn("start", F.lit(0)).unionByName(classic), by)
+    params = _stored(_quartile_start(rows).withColumn("start", F.lit(0)).unionByName(classic), by, groups)
     twice = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     factor = consistency(H_SHARE, p)
     for _ in range(STEPS):
@@ -226,13 +228,13 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
         bins = bins.withColumn("_until", F.sum("_n").over(group.orderBy("_bin"))).withColumn("_all", F.sum("_n").over(group))
         cuts = bins.filter(F.col("_until") >= F.ceil(F.col("_all") * H_SHARE)).groupBy(*by).agg(F.min("_bin").alias("_cut"))
         subset = near.join(cuts, by).filter("_bin <= _cut")
-        params = _stored(_moments(subset, by, factor), by)
+        params = _stored(_moments(subset, by, factor), by, groups)
     size = reduce(lambda a, b: a + b, (F.log(f"l_{d}_{d}") for d in DIMS))
     best = params.withColumn("_det", size).groupBy("key").agg(F.min_by("start", F.struct("_det", "start")).alias("start"))
     chosen = params.join(best, by).drop("start")
     inner = 0.975
     close = _distances(rows, chosen, ["key"]).filter(F.col("d2") <= chi2_quantile(inner, p))
-    return _stored(_moments(close, ["key"], consistency(inner, p)), ["key"])
+    return _stored(_moments(close, ["key"], consistency(inner, p)), ["key"], groups)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tail: float = TAIL) -> DataFrame:
