@@ -23,6 +23,7 @@ from .text import words
 
 LEVEL_BITS = 12
 LEVELS = 2
+SOURCES_PER_FILE = 100_000
 
 
 def water_fill(totals: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: float = 2.0) -> DataFrame:
@@ -71,6 +72,7 @@ def mixing_plan(sized: DataFrame, **options) -> DataFrame:
         "mix_rest", F.round(F.col("target") - F.col("mix_whole") * F.col("source_size")).cast("long")
     )
     plan = materialise(plan)
+    files = 1 + plan.count() // SOURCES_PER_FILE
     for level in range(LEVELS):
         narrowed = sized
         if level:
@@ -92,7 +94,7 @@ def mixing_plan(sized: DataFrame, **options) -> DataFrame:
         plan = plan.join(edge, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
         plan = plan.withColumn(f"mix_cell{level}", F.coalesce(F.col("_edge._cell"), F.lit(1 << LEVEL_BITS)))
         plan = plan.withColumn("mix_rest", F.col("mix_rest") - F.coalesce(F.col("_edge._before"), F.lit(0))).drop("_edge")
-        plan = materialise(plan)
+        plan = materialise(plan, files)
     return plan
 
 
