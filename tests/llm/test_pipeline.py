@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -14,6 +17,14 @@ from zonepulse.llm.oracles import SQL
 from . import brute
 
 
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def data():
+    return DATA
+
+
 @pytest.fixture(scope="module")
 def stages(spark, data):
     """Each stage's input and output, through Parquet as run() has it."""
@@ -48,10 +59,12 @@ def test_one_document_of_each_group_stays(stages):
     assert after.exceptAll(before).count() == 0
 
 
-def test_secrets_are_gone_and_nothing_else(stages):
+def test_secrets_are_gone_and_nothing_else(stages, spark, data):
     from .test_ledger import expected
 
-    before, after = stages["secrets"]
+    planted = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit(" password=hunter2222"))).otherwise(F.col("text"))
+    before = stages["secrets"][0].withColumn("text", planted)
+    after = P.redact_secrets(spark, before, data)
     texts = {r.doc_id: r.text for r in after.collect()}
     assert len(texts) == before.count()
     hit = 0
@@ -65,8 +78,6 @@ def test_secrets_are_gone_and_nothing_else(stages):
 
 
 def test_mix_is_what_the_operator_takes(stages):
-    from pyspark.sql import functions as F
-
     from zonepulse.llm.mixing import mix, taken_words
     from zonepulse.llm.text import n_words
 
@@ -96,7 +107,7 @@ def test_stages_take_messy_and_empty_tables(spark, messy, nothing, data):
     for docs in (messy, nothing):
         docs = docs.unionByName(docs.limit(2))
         for _, stage in P.STAGES:
-            docs = stage(spark, docs.withColumn("spans", docs.columns and docs["doc_id"]), data)
+            docs = stage(spark, docs.withColumn("spans", docs["doc_id"]), data)
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
 
