@@ -259,7 +259,7 @@ def _predict(shared, penalty: float):
         names = pa.array([*model.languages, "und"])
         langs = len(model.languages)
         for batch in batches:
-            for chunk in chunks(batch.column(1), most_bytes=4 << 20):
+            for chunk in chunks(batch.column(1), most_bytes=2 << 20):
                 letters = Letters(chunk)
                 scores, size, known = word_scores(letters, model)
                 n = chunk.n_texts
