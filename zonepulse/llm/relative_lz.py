@@ -179,11 +179,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     kind = dict(rows.dtypes)["id"]
     seeds = map_arrow(rows.filter("id IS NOT NULL"), _seeds(window), f"seed bigint, id {kind}")
     shared = seeds.groupBy("seed").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    hits = materialise(seeds.join(shared.select("seed"), "seed").select("id", "seed"))
-    near, far = split_by(rows, "id", materialise(sketch(hits.select("id").distinct(), "id")))
+    hits = materialise(seeds.join(shared.select("seed"), "seed").select("id", "seed"), release=True)
+    near, far = split_by(rows, "id", materialise(sketch(hits.select("id").distinct(), "id"), files=1))
     listed = hits.groupBy("id").agg(F.collect_list("seed").alias("seeds"))
     with_seeds = near.join(listed, "id").select("id", "text", "seeds")
-    runs = materialise(map_arrow(with_seeds, _windows(window), f"run bigint, id {kind}"))
+    runs = materialise(map_arrow(with_seeds, _windows(window), f"run bigint, id {kind}"), release=True)
     index = runs.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     found = runs.join(index, "run").filter("id > low").groupBy("id").agg(F.collect_list("run").alias("runs"))
     parsed = near.join(found, "id", "left").select("id", "text", "runs")
