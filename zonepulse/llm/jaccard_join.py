@@ -39,6 +39,7 @@ from .text import chunks, ranges
 #: Counters of the document frequencies: their number does not grow with the input.
 SLOT_BITS = 21
 _BLOCK = 1 << 13
+CLASSES_PER_FILE = 50_000
 #: Hash ranges of the suffix filter.
 BINS = 32
 
@@ -231,14 +232,16 @@ class JaccardJoin:
         return rows.filter(_like_size("n_a", "n_b", self.t) & enough).select("a", "b")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
-        pairs = materialise(pairs)
+        # Pairs follow the classes that have a like, and are a few numbers each.
+        files = 1 + self.classes.count() // CLASSES_PER_FILE
+        pairs = materialise(pairs, files)
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        near, _ = split_by(self.docs, "id", materialise(sketch(ids, "id")))
+        near, _ = split_by(self.docs, "id", materialise(sketch(ids, "id"), files=1))
         texts = near.select("id", "text")
         rows = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
         kind = dict(pairs.dtypes)["a"]
         checked = map_arrow(rows.select("a", "b", "text_a", "text_b"), _verify(self.k, self.lower, self.t), f"a {kind}, b {kind}, linked boolean")
-        return materialise(checked.groupBy("a", "b").agg(F.max("linked").alias("linked")))
+        return materialise(checked.groupBy("a", "b").agg(F.max("linked").alias("linked")), files)
 
     def solve(self) -> DataFrame:
         """(rep, component) of every class that has a link."""
