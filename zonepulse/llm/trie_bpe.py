@@ -7,8 +7,8 @@ there, and may follow the last token before it, is the last token. (Two tokens m
 neighbours if BPE leaves their concatenation as these two.)
 
 Distinct words of a batch go into a trie in sorted order, which is a depth-first walk:
-the states of a shared prefix are computed at its node once and every word below starts
-from them. The trie lives as long as the Python worker and is started anew when it has
+the state of a shared prefix is computed at its node once and every word below starts
+from it. The trie lives as long as the Python worker and is started anew when it has
 grown to a fixed number of nodes, so memory is bounded and words of later batches find
 their prefixes.
 
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .shipping import map_arrow
 
-MOST_NODES = 1_000_000
-MOST_WORDS = 250_000
+MOST_NODES = 500_000
+MOST_WORDS = 500_000
 MOST_PAIRS = 500_000
 
 # The byte-level pattern and the white space of Unicode.
@@ -101,69 +101,95 @@ class Vocabulary:
 
 
 class Trie:
-    """Nodes for byte strings; each knows the last token of its string's encoding."""
+    """Words by their prefixes; each node knows the last token of its prefix's encoding.
+
+    A node is kept under the prefix it stands for, so the deepest node that a word shares
+    with the words before is found from the word's end, in about as many steps as there
+    are nodes to add. Words of more than ``LONGEST`` bytes do not enter: their prefixes'
+    states are worked out in a row of their own.
+    """
+
+    LONGEST = 64
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.size = {i: len(t) for i, t in vocabulary.tokens.items()}
         self.clear()
 
     def clear(self) -> None:
-        self.child: dict[int, int] = {}
-        self.last = [-1]  # token ids by node; the root has none
-        self.size = [0]  # bytes of that token
+        self.last: dict[bytes, int] = {b"": -1}
+
+    def _alone(self, word: bytes) -> list[int]:
+        ids, lengths, neighbours = self.vocabulary.ids, self.vocabulary.lengths, self.vocabulary.neighbours
+        last = [-1]
+        for end in range(1, len(word) + 1):
+            for n in lengths[word[end - 1]]:
+                token = ids.get(word[end - n : end]) if n <= end else None
+                if token is not None and (last[end - n] < 0 or neighbours(last[end - n], token)):
+                    break
+            last.append(token)
+        out, at = [], len(word)
+        while at:
+            out.append(last[at])
+            at -= self.size[last[at]]
+        return out[::-1]
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
-        """Encodings of distinct words, given in sorted order."""
+        """Encodings of distinct words, given in sorted order: a depth-first walk."""
         if len(self.last) > MOST_NODES:
             self.clear()
-        vocabulary, child, last, size = self.vocabulary, self.child, self.last, self.size
+        vocabulary, last, size = self.vocabulary, self.last, self.size
         ids, known, lengths, neighbours = vocabulary.ids, vocabulary.known, vocabulary.lengths, vocabulary.neighbours
         out = []
         for word in words:
-            path = [0]
-            node = 0
-            for i, byte in enumerate(word):
-                key = node << 8 | byte
-                node = child.get(key)
-                if node is None:
-                    end = i + 1
-                    for n in lengths[byte]:
-                        if n > end:
-                            continue
-                        token = ids.get(word[end - n : end])
-                        if token is None:
-                            continue
-                        before = last[path[end - n]]
-                        if before < 0:
-                            break
-                        ok = known.get((before, token))
-                        if neighbours(before, token) if ok is None else ok:
-                            break
-                    else:
-                        raise ValueError(f"no token ends {word!r}")
-                    node = len(last)
-                    child[key] = node
-                    last.append(token)
-                    size.append(n)
-                path.append(node)
-            tokens = []
-            at = len(word)
+            whole = len(word)
+            if whole > self.LONGEST:
+                out.append(self._alone(word))
+                continue
+            end = whole
+            while word[:end] not in last:
+                end -= 1
+            while end < whole:
+                end += 1
+                for n in lengths[word[end - 1]]:
+                    if n > end:
+                        continue
+                    token = ids.get(word[end - n : end])
+                    if token is None:
+                        continue
+                    before = last[word[: end - n]]
+                    if before < 0:
+                        break
+                    ok = known.get((before, token))
+                    if neighbours(before, token) if ok is None else ok:
+                        break
+                last[word[:end]] = token
+            tokens, at = [], whole
             while at:
-                node = path[at]
-                tokens.append(last[node])
-                at -= size[node]
+                token = last[word[:at]]
+                tokens.append(token)
+                at -= size[token]
             tokens.reverse()
             out.append(tokens)
         return out
 
 
+_MARKS = frozenset(".,;:!?")
+
+
+def _is_word(run: str) -> bool:
+    """Letters only, but for the blank before them: one piece."""
+    return run.isalpha() or (run[:1] == " " and run[1:].isalpha())
+
+
 class Encoder:
     """Texts to ids, with a bounded memory of runs seen before."""
 
     def __init__(self, data: str):
         self.vocabulary = Vocabulary(data)
         self.trie = Trie(self.vocabulary)
-        self.seen: dict[str, tuple[int, str]] = {}
+        # Of each run: the number of its ids, the ids in decimal, and the bytes they decode to.
+        self.seen: dict[str, tuple[int, str, bytes]] = {}
         self.printed = {str(i): t for i, t in self.vocabulary.tokens.items()}
         self.printed |= {str(i): t.encode() for t, i in self.vocabulary.special.items()}
         marks = sorted(self.vocabulary.special, key=len, reverse=True)
@@ -172,8 +198,8 @@ class Encoder:
     def _parts(self, text: str) -> list[str]:
         return self.cut.split(text) if self.cut is not None and any(m in text for m in self.vocabulary.special) else [text]
 
-    def encode(self, texts: list[str]) -> list[tuple[int, str]]:
-        """(number of ids, ids in decimal joined by commas) for each text."""
+    def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """(number of ids, ids in decimal joined by commas, text decoded from them) each."""
         seen = self.seen
         if len(seen) > MOST_WORDS:
             # Short runs are the frequent ones.
@@ -186,20 +212,38 @@ class Encoder:
                 if not i % 2:
                     new.update(r)
         self._learn([r for r in new if r not in seen])
-        special = {t: (1, str(i)) for t, i in self.vocabulary.special.items()}
+        special = {t: (1, str(i), t.encode()) for t, i in self.vocabulary.special.items()}
         out = []
         for rs in runs:
             found = [seen[r] if not i % 2 else special[r] for i, part in enumerate(rs) for r in part]
-            out.append((sum([f[0] for f in found]), ",".join([f[1] for f in found])))
+            sizes, ids, data = zip(*found, strict=True) if found else ((), (), ())
+            # Bytes may only make sense across runs, so they are decoded as one.
+            out.append((sum(sizes), ",".join(ids), b"".join(data).decode("utf-8", "replace")))
         return out
 
     def _learn(self, runs: list[str]) -> None:
-        pieces = {r: [p.encode() for p in _PIECES.findall(r)] for r in runs}
+        """Remember runs. A word with one mark behind it is the word and the mark."""
+        marked, plain = [], set()
+        for r in runs:
+            if r[-1] in _MARKS and _is_word(r[:-1]):
+                marked.append(r)
+                plain.add(r[:-1])
+                plain.add(r[-1])
+            else:
+                plain.add(r)
+        self._learn_plain([r for r in plain if r not in self.seen])
+        for r in marked:
+            (n, ids, data), (m, mark, end) = self.seen[r[:-1]], self.seen[r[-1]]
+            self.seen[r] = (n + m, f"{ids},{mark}", data + end)
+
+    def _learn_plain(self, runs: list[str]) -> None:
+        pieces = {r: [r.encode()] if _is_word(r) else [p.encode() for p in _PIECES.findall(r)] for r in runs}
         words = sorted({p for ps in pieces.values() for p in ps})
         ids = dict(zip(words, self.trie.encode(words), strict=True))
         for run, ps in pieces.items():
             tokens = [t for p in ps for t in ids[p]]
-            self.seen[run] = (len(tokens), ",".join(map(str, tokens)))
+            ids_text = ",".join(map(str, tokens))
+            self.seen[run] = (len(tokens), ids_text, b"".join(map(self.printed.__getitem__, ids_text.split(","))))
 
     def decode(self, ids: str) -> str:
         """Text of decimal ids; bytes that are no UTF-8 become the replacement character."""
@@ -230,14 +274,13 @@ def _rows(data, most_chars: int = 2 << 20):
                     chars += len(texts[to] or "")
                     to += 1
                 coded = encoder.encode([t or "" for t in texts[at:to]])
-                back = [encoder.decode(c[1]) for c in coded]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, to - at),
                         *(c.slice(at, to - at) for c in batch.columns[2:]),
                         pa.array([c[0] for c in coded], pa.int64()),
                         pa.array([c[1] for c in coded], pa.string()),
-                        pa.array(back, pa.string()),
+                        pa.array([c[2] for c in coded], pa.string()),
                     ],
                     ["id", *batch.schema.names[2:], "n_tokens", "ids", "decoded"],
                 )
