@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from zonepulse.llm.multi_index import Layout, search, usable, walk
+from zonepulse.llm.multi_index import LEAST, Layout, search, usable, walk
 
 
 def table(spark, x, ids=None):
@@ -70,6 +70,19 @@ def test_recall(spark):
     assert hits / (20 * len(truth)) >= 0.9 and all(len(v) == 20 for v in found.values())
 
 
+def test_recall_with_unequal_norms(spark):
+    """More rows than twice LEAST, searched with the defaults of the registered query."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(5000, 32))
+    x *= (np.exp(rng.normal(size=5000)) / np.linalg.norm(x, axis=1))[:, None]
+    assert len(x) > 2 * LEAST
+    rows = usable(table(spark, x), "vec_id", "embedding")
+    found = results(search(rows, rows.filter("id % 100 = 0"), k=20))
+    truth = exact(x, np.arange(len(x)), list(range(0, len(x), 100)), 20)
+    hits = sum(len(set(found[q]) & set(truth[q])) for q in truth)
+    assert hits / (20 * len(truth)) >= 0.9 and all(len(v) == 20 for v in found.values())
+
+
 def test_edges(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [2.0, 1.0]), (None, [1.0, 1.0]), (8, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

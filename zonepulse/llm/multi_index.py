@@ -2,8 +2,10 @@
 
 Vectors are cut into two halves and each half is quantised by its own codebook, so K
 centroids per half give K * K cells. A query walks the pairs of centroids by the sum of
-its two half distances, nearest first, from a heap that holds only the frontier, until the
-cells walked hold enough entries; these are reranked by the exact inner product.
+its two half products, largest first, from a heap that holds only the frontier, until the
+cells walked hold enough entries; these are reranked by the exact inner product. Norms may
+differ: a centroid's product is raised by what the spread of its entries adds to the best
+of them, as long vectors, the likeliest answers, lie in few and wide cells.
 
 The index is stored in blocks of a bounded number of entries: neighbouring cells share a
 block, a crowded cell is dealt over several. Queries are dealt to blocks they have cells
@@ -32,26 +34,54 @@ ROUNDS = 12
 #: Share of all entries that a query walks, and the least number of them.
 SHARE = 0.5
 LEAST = 2_000
+#: How many standard deviations of a centroid's entries its product is raised by.
+REACH = 2.0
 BLOCK_ROWS = 4_096
 CHUNK_QUERIES = 1_024
 
 
 @dataclass(frozen=True)
 class Codebooks:
-    """Centroids of both halves, (K, half) each, and the vectors' length."""
+    """Centroids of both halves, (K, half) each, the spread of their entries per
+    coordinate, and the vectors' length."""
 
     left: np.ndarray
     right: np.ndarray
     dim: int
+    left_spread: np.ndarray
+    right_spread: np.ndarray
 
-    def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cut = (self.dim + 1) // 2
-        return x[:, :cut], x[:, cut:]
+    @staticmethod
+    def of(x: np.ndarray, k: int) -> Codebooks:
+        a, b = _halves(x)
+        left, right = _kmeans(a, k), _kmeans(b, k)
+        return Codebooks(left, right, x.shape[1], _spread(a, left), _spread(b, right))
 
     def cells(self, x: np.ndarray) -> np.ndarray:
-        a, b = self.halves(x)
+        a, b = _halves(x)
         return _nearest(a, self.left) * len(self.right) + _nearest(b, self.right)
 
+    def costs(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per query and centroid of each half what ``walk`` goes by: the product that the
+        best entries may have, negated."""
+        a, b = _halves(x)
+        return _cost(a, self.left, self.left_spread), _cost(b, self.right, self.right_spread)
+
+
+def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    cut = (x.shape[1] + 1) // 2
+    return x[:, :cut], x[:, cut:]
+
+
+def _cost(x: np.ndarray, centroids: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    return -(x @ centroids.T) - REACH * np.linalg.norm(x, axis=1)[:, None] * spread
+
+
+def _spread(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    near = _nearest(x, centroids)
+    squares = np.bincount(near, weights=((x - centroids[near]) ** 2).sum(1), minlength=len(centroids))
+    return np.sqrt(squares / np.maximum(np.bincount(near, minlength=len(centroids)) * max(x.shape[1], 1), 1))
+
 
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.argmax(2 * x @ centroids.T - (centroids**2).sum(1), axis=1)
@@ -85,9 +115,7 @@ def fit(vectors: DataFrame, k: int = CENTROIDS, sample: int = SAMPLE_ROWS) -> Co
         return None
     found = rows["vector"].combine_chunks()
     x = np.stack([np.asarray(v) for v in found.to_pylist()])
-    books = Codebooks(np.zeros((0, 0)), np.zeros((0, 0)), x.shape[1])
-    a, b = books.halves(x)
-    return Codebooks(_kmeans(a, k), _kmeans(b, k), x.shape[1])
+    return Codebooks.of(x, k)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -163,10 +191,7 @@ def _route(shared, enough: int, chunk: int):
                 continue
             ids = batch.column(0).to_numpy()
             x = _matrix(batch.column(1), books.dim)
-            a, b = books.halves(x)
-            # Squared distances up to the query's own length, which moves no cell.
-            left = (books.left**2).sum(1) - 2 * a @ books.left.T
-            right = (books.right**2).sum(1) - 2 * b @ books.right.T
+            left, right = books.costs(x)
             for i, query in enumerate(ids.tolist()):
                 cells = np.array(walk(left[i], right[i], layout.counts, enough), dtype=np.int64)
                 piece = layout.pieces[cells]
