@@ -109,3 +109,21 @@ def test_written_shards_prune(messy, tmp_path):
     write_shards(one, placed(one, 4), str(tmp_path / "out"))
     back = messy.sparkSession.read.parquet(str(tmp_path / "out"))
     assert back.count() == one.count() and {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_written_files_exclude_by_two_dimensions(spark, nothing, tmp_path):
+    """Each shard has its files of equal runs, and their minima and maxima exclude most."""
+    size = (F.col("id") * 7919 % 1000 + 1).cast("long")
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("en").alias("lang"), F.lit("a").alias("source"), size.alias("n_chars"))
+    dims = {"n": Dim(F.col("n_chars")), "id": Dim(F.col("doc_id"))}
+    write_shards(docs, hilbert_shards(docs, dims, 4), str(tmp_path / "out"), files_per_shard=16)
+    back = spark.read.parquet(str(tmp_path / "out")).withColumn("file", F.input_file_name())
+    files = back.groupBy("shard", "file").agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for c in ("n_chars", "doc_id") for f in (F.min, F.max))).collect()
+    per_shard = {}
+    for r in files:
+        per_shard.setdefault(r.shard, []).append(r.n)
+    assert {s: len(n) for s, n in per_shard.items()} == {s: 16 for s in range(4)}
+    assert all(max(n) - min(n) <= 1 for n in per_shard.values())
+    met = [r for r in files if r.min_n_chars <= 300 and r.max_n_chars >= 200 and r.min_doc_id <= 1400 and r.max_doc_id >= 1000]
+    assert len(met) <= len(files) / 8
+    assert back.count() == 4000

@@ -128,10 +128,16 @@ def hilbert_shards(docs: DataFrame, dims: dict[str, Dim], shards: int, bits: int
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", files_per_shard: int = 1) -> None:
     """Documents as Parquet in ``path``/shard=s, in slot order; needs unique ids.
 
-    A shard is cut into ``files_per_shard`` runs of its slots, so each file covers a
-    small box of the dimensions.
+    A shard is cut into ``files_per_shard`` runs of its slots, at most one row apart in
+    size and one file each, so each file covers a small box of the dimensions. Each run is
+    written by one task; raise the number with the data.
     """
-    joined = docs.drop("shard", "slot").join(placed.select(id_col, "shard", "slot"), id_col)
-    count = 8 if files_per_shard < 1 else files_per_shard
-    shards = joined.sparkSession.sparkContext.defaultParallelism
-    joined.repartitionByRange(max(shards, count), "shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
+    if files_per_shard < 1:
+        raise ValueError("files_per_shard is at least 1")
+    # One row per shard.
+    sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("_size"))
+    cut = placed.select(id_col, "shard", "slot").join(F.broadcast(sizes), "shard")
+    cut = cut.withColumn("_run", F.expr(f"cast(shard * {files_per_shard} + slot * {files_per_shard} div _size as int)")).drop("_size")
+    runs = ((placed.agg(F.max("shard")).first()[0] or 0) + 1) * files_per_shard
+    joined = docs.drop("shard", "slot").join(cut, id_col).repartitionById(runs, F.col("_run"))
+    joined.sortWithinPartitions("shard", "slot").drop("slot", "_run").write.partitionBy("shard").parquet(path)
