@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from zonepulse.llm import queries
 from zonepulse.llm.blob_ledger import RULES, Ledger, Rule, blob_of, listed, redacted, scan_paths
 
 KEY = "AKIA" + "A1B2" * 5
@@ -70,6 +71,19 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert ledger.findings(rules).count() == 4 and ledger.findings(newer).count() == 3
 
 
+def test_query_scans_in_two_runs(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "ledger")
+    monkeypatch.setattr(queries, "scratch_path", lambda *_: folder)
+    docs_of(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.spans for r in queries.op6_blob_ledger(spark, str(tmp_path)).collect()}
+    assert got == {i: expected(t) for i, t in enumerate([*TEXTS, TEXTS[3]])}
+    n = len({t or "" for t in TEXTS})
+    counts = {(r.rule, r.version): r["count"] for r in Ledger(spark, folder).scanned().groupBy("rule", "version").count().collect()}
+    assert counts == {**{(r.kind, 1): n for r in RULES}, ("hex", 0): n}  # nothing is scanned twice
+    files = Ledger(spark, folder).scanned().inputFiles()
+    assert len(files) == 2  # one append a run
+
+
 def test_empty(spark, nothing, tmp_path):
     got = scan_paths(nothing, str(tmp_path / "ledger"))
     assert got.count() == 0 and got.columns == [*nothing.columns, "spans"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,8 +73,13 @@ def op5_water_filling(spark: SparkSession, folder: str) -> DataFrame:
 
 @published
 def op6_blob_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over all documents from one ledger: first the base rules, the hex rule in a
+    version before, then all rules as they are. The second run scans only pairs that the
+    ledger does not have, and the findings of both are joined."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = scan_paths(docs, scratch_path(spark, "ledger"))
+    ledger = scratch_path(spark, "ledger")
+    scan_paths(docs, ledger, tuple(replace(r, version=0) if r.kind == "hex" else r for r in RULES if r.base))
+    found = scan_paths(docs, ledger)
     base = [r.kind for r in RULES if r.base]
     own = F.filter("spans", lambda s: s["kind"].isin(base))
     kinds = F.transform("spans", lambda s: s["kind"])
