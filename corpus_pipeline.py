@@ -33,11 +33,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 or more on five-word n-grams the one with
-    the smallest id stays, once. Documents without id have no links and stay."""
-    groups = materialise(jaccard_components(docs, k=5, threshold=(4, 5)))
-    firsts = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS).unionByName(docs.filter("doc_id IS NULL").select(*COLUMNS))
+    the smallest id stays, once; those without id come last.
+
+    Rows are told apart by a 64-bit hash of id and text, so unlike texts under one id are
+    documents of their own and copies without id are copies. Of rows equal in both, the one
+    with the smallest other columns stays."""
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    keyed = docs.select(*COLUMNS, key.alias("_key"))
+    groups = materialise(jaccard_components(keyed, k=5, threshold=(4, 5), id_col="_key"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
+    firsts = groups.join(keyed.select("_key", "doc_id").distinct(), "_key").groupBy("component_id").agg(F.min_by("_key", order).alias("_key"))
+    least = F.min(F.struct("lang", "source", "n_chars", "doc_id", "text")).alias("row")
+    return keyed.join(firsts.select("_key"), "_key", "left_semi").groupBy("_key").agg(least).select("row.*").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,6 +59,26 @@ def test_one_document_of_each_group_stays(stages):
     assert after.exceptAll(before).count() == 0
 
 
+def test_repeated_and_missing_ids(spark, data):
+    """Unlike texts under one id stay, and copies without id are copies."""
+    long = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    rows = [
+        (1, long("a"), "en", "s", 1),
+        (1, long("b"), "en", "s", 1),
+        (1, long("b"), "de", "s", 1),  # equal in id and text
+        (2, long("b"), "en", "s", 1),
+        (None, long("c"), "en", "s", 1),
+        (None, long("c"), "en", "s", 1),
+        (None, long("a"), "en", "s", 1),
+        (None, long("d"), "en", "s", 1),
+        (3, long("d") + " tail", "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{data}/documents.parquet").schema)
+    want = [rows[0], rows[2], rows[4], rows[8]]
+    for d in (docs, docs.repartition(5)):
+        assert sorted(map(tuple, P.drop_near_duplicates(spark, d, data).collect()), key=str) == sorted(want, key=str)
+
+
 def test_secrets_are_gone_and_nothing_else(stages, spark, data):
     from .test_ledger import expected
 
