@@ -1,10 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing against the whole corpus.
+"""Substring dedup by a join of window hashes over the whole corpus.
 
-Every document is parsed against an index of all documents with smaller ids. A factor is
-a run of words that also stands in such a document; only factors of ``window`` words or
-more matter, so the index holds runs of that length by hash. It is cut into blocks by
-hash, one to a shuffle partition, and a document meets every block that can hold one of
-its runs.
+This stands in place of a relative Lempel-Ziv parse: no reference text is indexed and no
+factor is extended against a source. Runs of ``window`` words are joined by hash with the
+smallest id that has them, all runs of a document that also stand in a document with a
+smaller id come back to it as a list, and spans of such runs that touch or overlap are
+merged. The runs merged into one span may come from different documents.
 
 Two steps keep the index small:
 
@@ -14,10 +14,8 @@ Two steps keep the index small:
     aggregate that combines before the shuffle.
 2.  Only windows whose seed is shared enter the index, with the smallest id that has them.
 
-The parse then goes left to right: at a word where an indexed window starts the factor is
-extended as long as the next window is indexed too. Greedy factors would lose windows
-that straddle the end of one, so the windows that start in the last ``window`` - 1 words
-of a factor are looked up as well. All covered words are duplicates.
+All windows are looked up, so no duplicate is lost where the source changes. All covered
+words are duplicates.
 """
 
 from __future__ import annotations
@@ -113,9 +111,8 @@ def _windows(window: int):
 def factors(at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Word spans [start, end) covered by windows that start at the sorted ``at``.
 
-    A factor starts at an indexed window and grows while the next word starts one too.
-    Windows at its end that were looked up and found let it go on; so a factor ends
-    before the first window that starts behind its last word.
+    Windows that overlap or touch are one span; so a span ends before the first window
+    that starts behind its last word.
     """
     if not len(at):
         return at, at
@@ -165,7 +162,7 @@ def _parse(window: int):
 def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document (id, n_words, n_removed, spans, kept).
 
-    ``spans`` are the duplicate factors in words, end exclusive; ``kept`` are the other
+    ``spans`` are the duplicate runs in words, end exclusive; ``kept`` are the other
     words, joined by one space. A word is duplicate if a window over it also starts in a
     document with a smaller id, judged on the input.
 
