@@ -101,4 +101,55 @@ SELECT t.doc_id,
 FROM t LEFT JOIN named USING (doc_id) GROUP BY t.doc_id
 """
 
-SQL = {"op3_warc": OP3, "op4_relative_lz": OP4, "op6_blob_ledger": OP6, "op7_jaccard_join": OP7}
+def _levels(name: str, key: str, first: str, levels: int) -> list[str]:
+    """Nodes (key, i, d, n) of every level of a 16-ary tree, and their runs."""
+    out = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        out.append(f"{name}r{k} AS (SELECT {key}, i // 16 AS run, any_value(n) AS n, list(d ORDER BY i) AS ds FROM {name}{k} GROUP BY {key}, run)")
+        digest = "CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END"
+        out.append(f"{name}{k + 1} AS (SELECT {key}, run AS i, {digest} AS d, (n + 15) // 16 AS n FROM {name}r{k})")
+    return out
+
+
+def _walk(name: str, join: str, first: str, levels: int, steps: str) -> list[str]:
+    """Rows (doc_id, t, i, proof, f) led up through the runs of all levels."""
+    out = [f"{steps}0 AS ({first})"]
+    for k in range(levels):
+        left, right = "array_to_string(ds[1:(i % 16)::INT], '')", "array_to_string(ds[(i % 16)::INT + 2:], '')"
+        out.append(
+            f"{steps}{k + 1} AS (SELECT doc_id, leaf, t, i // 16 AS i, CASE WHEN n = 1 THEN proof ELSE proof || {left} || {right} END AS proof, "
+            f"CASE WHEN n = 1 THEN f ELSE sha256({left} || f || {right}) END AS f FROM {steps}{k} JOIN {name}r{k} {join} WHERE run = i // 16)"
+        )
+    return out
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+_CRC32 = (
+    "xor(4294967295, list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])), "
+    "lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) ELSE xor(a >> 1, 3988292384 * (a & 1)) END, 4294967295::BIGINT))"
+)
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+# 16^6 documents to a source and 16^4 sources.
+OP12 = "WITH " + ",\n".join(
+    [
+        f"""d AS (
+  SELECT doc_id, sha256({_HEAD} || {_field("text")}) AS leaf,
+    CASE WHEN {_CRC32} % 5 = 0 THEN sha256({_HEAD} || {_field(_LOWER)}) END AS changed,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM documents)""",
+        *_levels("s", "t", "SELECT t, i, leaf AS d, n FROM d", 6),
+        *_levels("r", "z", "SELECT 0 AS z, t AS i, d, count(*) OVER () AS n FROM s6", 4),
+        *_walk("s", "USING (t)", "SELECT doc_id, leaf, t, i, '' AS proof, coalesce(changed, leaf) AS f FROM d", 6, "p"),
+        *_walk("r", "ON true", "SELECT doc_id, leaf, t, t AS i, proof, f FROM p6", 4, "q"),
+    ]
+) + """
+SELECT doc_id, leaf, s6.d AS subroot, r4.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r4.d AS verified
+FROM q4 JOIN s6 USING (t), r4
+"""
+
+SQL = {"op3_warc": OP3, "op4_relative_lz": OP4, "op6_blob_ledger": OP6, "op7_jaccard_join": OP7, "op12_merkle_manifest": OP12}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -13,6 +14,7 @@ from .blob_ledger import RULES, listed, scan_paths
 from .hilbert import Dim, hilbert_shards
 from . import language_spans, multi_index, outliers
 from .jaccard_join import jaccard_components
+from .merkle import digest, fold, manifest, proof_text
 from .mixing import mix, taken_words
 from .oracles import SQL
 from .relative_lz import remove_repeats
@@ -141,6 +143,18 @@ def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language_spans.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@published
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, digest([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), lower]))
+    leaf = digest([F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
+    proved = manifest(docs.select("doc_id", "source", leaf.alias("leaf"), changed.alias("changed")), keep=("changed",))
+    folded = fold(F.coalesce("changed", "leaf"), F.col("path"))
+    out = proved.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
