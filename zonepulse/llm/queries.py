@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .blob_ledger import RULES, listed, scan_paths
+from .collisions import near_vectors
 from .hilbert import Dim, hilbert_shards
 from . import language_spans, multi_index, outliers
 from .jaccard_join import jaccard_components
@@ -143,6 +144,11 @@ def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language_spans.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@published
+def op11_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"), threshold=0.98)
+
+
 @published
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
