@@ -20,6 +20,7 @@ from .mixing import mix, taken_words
 from .oracles import SQL
 from .relative_lz import remove_repeats
 from .text import n_words
+from .token_alignment import align, read_tokenizers
 from .trie_bpe import encode_texts, read_vocabulary
 from .warc import archive_pages
 
@@ -161,6 +162,14 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+@published
+def op13_fragment_monoid(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = read_tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return align(table(spark, folder, "documents"), files)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
