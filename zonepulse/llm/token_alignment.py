@@ -17,14 +17,15 @@ one's prefix are one group. This is associative, so ranges of very long document
 composed in a tree, ``FAN`` neighbours to a Spark task at a time. A document of one range
 is closed where it is encoded.
 
-The file of the first tokenizer is JSON of the tokenizers library, byte-level; that of the
-second a sentencepiece model that adds a space.
+The file of the first tokenizer is JSON of the tokenizers library, byte-level, whose ids
+follow the order of its merges, so that they can be taken for ranks; that of the second is
+a sentencepiece model that adds a space.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -60,16 +61,19 @@ class Tokenizers:
     """Both tokenizers and the bytes of their tokens."""
 
     def __init__(self, first: str, second: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
+        from public_tokenizers import PATTERN
 
-        self.a = Tokenizer.from_str(first)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
-        letters = {c: b for b, c in byte_letters().items()}
-        spelt = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in letters for c in t)}
+        model, letters = json.loads(first)["model"], {c: b for b, c in byte_letters().items()}
+        spelt = {i: bytes(letters[c] for c in t) for t, i in model["vocab"].items() if all(c in letters for c in t)}
         self.a_bytes = [spelt.get(i, b"") for i in range(max(spelt) + 1)]
+        merged = ["".join(pair) if isinstance(pair, list) else pair.replace(" ", "") for pair in model["merges"]]
+        if [model["vocab"][t] for t in merged] != list(range(256, 256 + len(merged))):
+            raise ValueError("the first file's ids do not follow its merges, so they are no ranks")
+        entries = {t: i for i, t in spelt.items()}
+        self.a = tiktoken.Encoding("first", pat_str=PATTERN, mergeable_ranks=entries, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         n = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(n)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
@@ -98,7 +102,7 @@ class Tokenizers:
             return _NONE, _NONE
         a, b = [], []
         for part in self._parts(text, most):
-            x = self.a.encode(" " + part, add_special_tokens=False).ids
+            x = self.a.encode_ordinary(" " + part)
             y = self.b.encode(part, num_threads=1) if part else []
             whole = (" " + part).encode()
             if b"".join(map(self.a_bytes.__getitem__, x)) != whole or b"".join(map(self.b_bytes.__getitem__, y)) != whole:
