@@ -31,6 +31,44 @@ def test_spans_cover_what_is_removed(messy):
         assert len(r.kept.split(" ")) - (r.kept == "") == r.n_words - r.n_removed
 
 
+def test_hot_windows_give_the_same(messy):
+    """Windows of seeds in three documents or more take the aggregate's way."""
+    got = remove_repeats(messy, 13, hot=3).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("h")).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.h) for r in got} == brute.repeats(pairs_of(messy), 13)
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_factors_are_copies(messy, hot):
+    """Each factor's words stand in its source, which has a smaller id, and no factor could go on there."""
+    words = {i: brute.words(t) for i, t in pairs_of(messy)}
+    seen = longer = 0
+    for r in remove_repeats(messy, 13, hot=hot).collect():
+        mine, covered = words[r.doc_id], set()
+        assert [f.start for f in r.factors] == sorted({f.start for f in r.factors})
+        for f in r.factors:
+            theirs = words[f.source]
+            assert f.source < r.doc_id and f.end - f.start >= 13
+            assert mine[f.start : f.end] == theirs[f.place : f.place + f.end - f.start]
+            covered.update(range(f.start, f.end))
+            seen += 1
+            longer += f.end - f.start > 13
+        assert covered == {p for s in r.spans for p in range(s.start, s.end)}
+    assert seen > 20 and longer > 10
+
+
+def test_batches_of_sources(spark):
+    """A run that goes on over batches of the sorted stream keeps its first row."""
+    import pyarrow as pa
+
+    from zonepulse.llm.relative_lz import _sources
+
+    rows = [(1, 5, 0), (1, 5, 9), (1, 7, 1), (2, 4, 0), (2, 6, 3), (2, 8, 2), (3, 1, 0)]
+    for size in (1, 2, 3, 7):
+        parts = [pa.RecordBatch.from_pylist([dict(zip(("run", "id", "place"), r, strict=True)) for r in rows[i : i + size]]) for i in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in _sources(iter(parts)) for r in b.to_pylist()]
+        assert got == [(7, 1, 5, 0), (6, 2, 4, 0), (8, 2, 4, 0)]
+
+
 def test_repeats_edges(spark, nothing):
     assert remove_repeats(nothing).count() == 0
     text = " ".join(f"w{i}" for i in range(20))
