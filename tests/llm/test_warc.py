@@ -7,6 +7,8 @@ import hashlib
 import zlib
 
 from zonepulse.llm import warc
+from pyspark.sql import functions as F
+
 from zonepulse.llm.warc import MAGIC, archive_pages, owned_records, read_archives, record, write_archives
 
 
@@ -95,3 +97,15 @@ def test_short_payloads_are_all_responses(spark, tmp_path):
 
 def test_no_pages(spark, tmp_path):
     assert archive_pages(spark, spark.createDataFrame([], KINDS + ", payload string"), str(tmp_path / "w")).count() == 0
+
+
+def test_ranges_are_read_by_as_many_tasks(spark, tmp_path):
+    """64 ranges are not one task, though their rows are a few bytes."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html"))
+    pages = pages.withColumn("html", F.concat(*(F.sha2(F.concat("html", F.lit(i)), 512) for i in range(20))))
+    manifest = write_archives(pages.coalesce(1), str(tmp_path / "w"), 0)
+    size = manifest.agg(F.sum("bytes")).first()[0]
+    read = read_archives(manifest, str(tmp_path / "w"), split_bytes=-(-size // 64))
+    used = read.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert read.count() == 400 and used >= 16

@@ -243,8 +243,10 @@ def read_archives(manifest: DataFrame, folder: str, split_bytes: int = 16 << 20)
     cut = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
     spans = manifest.filter("bytes > 0").select("path", cut.alias("start"), "bytes")
     spans = spans.select("path", "start", F.least(F.col("start") + split_bytes, F.col("bytes")).alias("end"), F.col("bytes").alias("size"))
-    # Ranges, a few bytes each, are dealt out evenly before any is read.
-    spans = spans.repartition("path", "start")
+    # Ranges, a few bytes each, are dealt out before any is read. Their number is given, as
+    # runtime re-planning would take so few bytes for one task.
+    n = manifest.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0]
+    spans = spans.repartition(max(int(n or 0), 1), "path", "start")
     return map_arrow(spans, _read(folder), _RECORDS)
 
 
