@@ -76,6 +76,83 @@ def test_snapshots_of_one_period_all_count(spark, tmp_path):
     assert [r.Date for r in df.collect()] == ["2019/03"] * 2
 
 
+def snapshot(path, zipcode, notes=False):
+    names = LISTING_RAW_SCHEMA.names
+    path.parent.mkdir(parents=True, exist_ok=True)
+    cells = [zipcode if n == "zipcode" else "1" for n in names]
+    path.write_text(",".join([*names, *(["notes"] if notes else [])]) + "\n" + ",".join([*cells, *(["x"] if notes else [])]) + "\n")
+
+
+def test_snapshot_paths_are_files_folders_and_globs(spark, tmp_path):
+    """Each row has the period of its own file, also where one path ends like another, or is a glob."""
+    snapshot(tmp_path / "x.csv", "1")
+    snapshot(tmp_path / "old/x.csv", "2")
+    snapshot(tmp_path / "g 1+1/a.csv", "3", notes=True)
+    snapshot(tmp_path / "g 1+1/b%20.csv", "4", notes=True)
+    snapshot(tmp_path / "whole/x.csv", "5")
+    files = {
+        "2019/03": str(tmp_path / "x.csv"),
+        "2019/04": str(tmp_path / "old/x.csv"),
+        "2019/05": str(tmp_path / "g 1+1/*.csv"),
+        "2019/06": [str(tmp_path / "whole")],
+    }
+    df = readers.snapshot_files(spark, files, LISTING_RAW_SCHEMA)
+    got = sorted((r.zipcode, r.Date) for r in df.collect())
+    assert got == [("1", "2019/03"), ("2", "2019/04"), ("3", "2019/05"), ("4", "2019/05"), ("5", "2019/06")]
+
+
+def test_relative_snapshot_paths(spark, tmp_path, monkeypatch):
+    """Paths relative to where the JVM was started, one of which ends like the other."""
+    base = os.path.relpath(tmp_path, spark._jvm.System.getProperty("user.dir"))
+    snapshot(tmp_path / "x.csv", "1")
+    snapshot(tmp_path / "old/x.csv", "2")
+    df = readers.snapshot_files(spark, {"2019/03": f"{base}/x.csv", "2019/04": f"{base}/old/x.csv"}, LISTING_RAW_SCHEMA)
+    assert sorted((r.zipcode, r.Date) for r in df.collect()) == [("1", "2019/03"), ("2", "2019/04")]
+
+
+def test_snapshot_files_of_no_or_two_periods(spark, tmp_path):
+    snapshot(tmp_path / "a/x.csv", "1")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(Exception, match="2019/03.*2019/04"):
+        readers.snapshot_files(spark, {"2019/03": str(tmp_path / "a/x.csv"), "2019/04": str(tmp_path / "a/*.csv")}, LISTING_RAW_SCHEMA)
+    for nowhere in ("empty", "a/*.txt"):
+        with pytest.raises(Exception, match="(?i)no files|not.exist|path_not_found"):
+            readers.snapshot_files(spark, {"2019/03": str(tmp_path / nowhere)}, LISTING_RAW_SCHEMA)
+
+
+@pytest.mark.parametrize("form", ["csv", "parquet"])
+def test_replace_one_period(spark, tmp_path, form):
+    df = spark.createDataFrame([(1, "2019-01"), (2, "2019-01"), (3, "2019-02"), (4, "2019-03")], "id int, month string")
+    path = str(tmp_path / "tree")
+
+    def write(rows, mode):
+        if form == "csv":
+            writers.partitioned_csv(rows, path, ["month"], mode=mode)
+        else:
+            writers.parquet_table(rows, path, ["month"], mode=mode)
+
+    write(df, "errorifexists")
+    new = spark.createDataFrame([(9, "2019-02")], "id int, month string")
+    for _ in range(2):
+        write(new, "replace")
+    read = readers.partitioned_csv(spark, path, df.schema) if form == "csv" else readers.parquet_table(spark, path)
+    assert sorted((r.id, r.month) for r in read.collect()) == [(1, "2019-01"), (2, "2019-01"), (4, "2019-03"), (9, "2019-02")]
+    with pytest.raises(ValueError):
+        writers.parquet_table(df, path, mode="replace")
+
+
+def test_files_of_other_names_are_not_scanned(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.IntegerType())])
+    for name, text in (("bronx_2003", "1"), ("bronx_2004", "2"), ("queens_2003", "3"), ("notes", "4")):
+        (tmp_path / f"{name}.csv").write_text(text + "\n")
+    args = (spark, str(tmp_path / "*.csv"), schema, r"(bronx|queens)_(\d{4})", {"district": "string", "year": "int"})
+    only = readers.named_files(*args, only={"district": "bronx", "year": "2004"})
+    assert rows(only) == [(2, "bronx", 2004)] and len(only.inputFiles()) == 1
+    assert rows(readers.named_files(*args, only={"year": "2003"})) == [(1, "bronx", 2003), (3, "queens", 2003)]
+    none = readers.named_files(*args, only={"year": "1900"})
+    assert none.columns == ["id", "district", "year"] and none.count() == 0
+
+
 def test_header_must_fit(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("zip", T.StringType())])
     (tmp_path / "x").mkdir()

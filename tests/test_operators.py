@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.operators import aggregates, correlation, joins, profile, quality
 from zonepulse.operators.correlation import correlate_by_shift, pearson
+from zonepulse.operators.partials import MomentStore
 
 
 def rows(df):
@@ -192,3 +193,27 @@ def test_combining_aggregates_adds_no_shuffle(spark):
         assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_moments_of_parts_merge_in_any_order(spark, tmp_path):
+    """Fed in three parts, in any order and again, the moments are those of all rows."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["2019-01", "2019-02"]), f"z{rng.randrange(4)}", 1e6 + rng.gauss(0, 3) if rng.random() < 0.9 else None, i % 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "month string, zone string, price double, part int")
+    keys = ["month", "zone"]
+    want = {(r.month, r.zone): r for r in correlation.key_moments(df, keys, "price").collect()}
+    seen = []
+    for n, order in enumerate([(0, 1, 2), (2, 0, 1), (1, 2, 0, 1)]):
+        store = MomentStore(spark, str(tmp_path / str(n)), keys, "price")
+        assert store.parts() == [] and store.missing(["0", "1"]) == ["0", "1"]
+        for part in order:
+            store.feed(df.filter(F.col("part") == part), str(part))
+        assert store.parts() == ["0", "1", "2"] and store.missing(["2", "3"]) == ["3"]
+        got = {(r.month, r.zone): r for r in store.moments().collect()}
+        assert got.keys() == want.keys()
+        for key, r in got.items():
+            assert (r.n, r.low, r.high) == (want[key].n, want[key].low, want[key].high)
+            assert r["mean"] == pytest.approx(want[key]["mean"], rel=1e-14)
+            assert r.spread == pytest.approx(want[key].spread, rel=1e-6)
+        seen.append(sorted(map(tuple, got.values())))
+    assert seen[0] == seen[1] == seen[2]

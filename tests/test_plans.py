@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from zonepulse.operators import quality
 from zonepulse.plans import complaints, listings, sales, study
 from zonepulse.schemas import (
     COMPLAINT_WIDTH,
@@ -52,6 +53,35 @@ def test_complaint_edge_rows(spark):
     assert [tuple(r) for r in complaints.keyed(complaints.clean(frame(spark, lines[-1:]))).collect()] == [("2013-04", "00501", "HEATING")]
 
 
+def test_complaint_lines_as_a_parser_reads_them(spark):
+    """Unpaired quotes are rejected by the width rule and counted; quotes inside are none of its business."""
+    lines = [
+        complaint_line(type='"Noise, loud'),  # opened, never closed
+        complaint_line(type='5" pipe'),
+        complaint_line(type='"a ""b"", c"'),
+        complaint_line(type='"one"', zip='"10001"'),
+        complaint_line() + ",,",  # empty cells beyond the last do not count
+        complaint_line() + ",x",
+        "",
+        None,
+    ]
+    got = complaints.clean(frame(spark, lines)).collect()
+    assert [r.type for r in got] == ['a "b", c', "one", complaints.clean(frame(spark, [complaint_line()])).first().type]
+    report = quality.attrition(complaints.split_lines(frame(spark, lines)), complaints.line_rules()).collect()
+    assert [r.surviving for r in report] == [8, 3, 3, 3, 3]
+
+
+def test_audit_from_the_pass_that_cleans(spark, tmp_path):
+    lines = [complaint_line(), complaint_line(zip=""), complaint_line(zip="ABC"), "short", complaint_line(lat="N/A"), complaint_line(last="")]
+    split = complaints.split_lines(frame(spark, lines))
+    kept, seen = quality.observed(split, complaints.line_rules())
+    complaints.typed(kept).write.parquet(str(tmp_path / "clean"))
+    want = quality.attrition(split, complaints.line_rules())
+    got = quality.observed_attrition(spark, seen, complaints.line_rules())
+    assert got.dtypes == want.dtypes and got.collect() == want.collect()
+    assert spark.read.parquet(str(tmp_path / "clean")).count() == got.collect()[-1].surviving == 1
+
+
 def test_complaint_header_width(spark, tmp_path):
     header = ",".join(f"c{i}" for i in range(COMPLAINT_WIDTH))
     path = tmp_path / "raw.csv"

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import as_col
-from .text import is_double_text, is_int_text
+from .text import BAD_LINE, is_double_text, is_int_text
 
 
 def every(conditions: Iterable[Column]) -> Column:
@@ -20,6 +20,12 @@ def has_width(cells: Column | str, width: int) -> Column:
     return F.size(as_col(cells)) == width
 
 
+def fits(record: Column | str) -> Column:
+    """The line of a ``csv_record`` has the width asked for; a NULL line has none."""
+    record = as_col(record)
+    return record.isNotNull() & record[BAD_LINE].isNull()
+
+
 def required(*cols: Column | str) -> Column:
     """All given cells hold text; NULL counts as empty."""
     return every(F.coalesce(as_col(c) != "", F.lit(False)) for c in cols)

@@ -114,6 +114,23 @@ def split_outer_comma(line: Column | str, keep_trailing: bool = True) -> Column:
     return F.when(only_commas, F.array().cast("array<string>")).otherwise(split)
 
 
+BAD_LINE = "_bad"
+
+
+def csv_record(line: Column | str, width: int) -> Column:
+    """The cells ``c0``, ``c1``, ... of a comma line as one struct, read by Spark's CSV parser.
+
+    Empty cells at the end are cut off first, so they do not count. A line of another width
+    has its text in the field ``_bad``. One without cells and one with an odd number of
+    quotes, of which no parser can tell where its cells end, give NULL. An empty cell is NULL, a quoted empty one is ''.
+    """
+    line = F.rtrim(as_col(line), F.lit(","))
+    fields = ", ".join(f"c{i} STRING" for i in range(width))
+    options = {"mode": "PERMISSIVE", "escape": '"', "columnNameOfCorruptRecord": BAD_LINE, "maxColumns": str(1 << 20)}
+    paired = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 0
+    return F.from_csv(F.when(paired & (line != ""), line), f"{fields}, {BAD_LINE} STRING", options)
+
+
 def unquote(cell: Column | str) -> Column:
     """A cell without its enclosing quotes; doubled quotes become one."""
     cell = as_col(cell)

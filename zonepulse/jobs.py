@@ -36,7 +36,7 @@ from .schemas import (
     SALE_PRICE,
     SALE_RAW_SCHEMA,
 )
-from .session import build_session, clear_scratch
+from .session import build_session, clear_scratch, materialise
 from .sources import readers, writers
 
 ESTIMATORS = {"linear": learning.linear, "boosted_trees": learning.boosted_trees, "forest": learning.forest}
@@ -44,27 +44,46 @@ FORMATS = ["parquet", "tuple", "csv", "titled"]
 SHEET_NAME = r"(?:^|[/_])(manhattan|bronx|brooklyn|queens|statenisland)_(?:year_)?(\d{4}|rolling)"
 
 
+def _audited(spark: SparkSession, rows: DataFrame, rules: quality.Rules, shape: Callable, a) -> DataFrame:
+    """Shaped rows that pass the rules; with ``--report`` their counts come from the same scan."""
+    if not a.report:
+        return shape(quality.keep(rows, rules))
+    kept, seen = quality.observed(rows, rules)
+    stored = materialise(shape(kept))
+    writers.parquet_table(quality.observed_attrition(spark, seen, rules), a.report, mode=a.mode)
+    return stored
+
+
 def clean_complaints(spark: SparkSession, a) -> DataFrame:
     lines = readers.text_lines(spark, a.input)
     width = complaints.header_width(lines) if a.width == "infer" else int(a.width)
-    if a.report:
-        writers.parquet_table(quality.attrition(complaints.split_lines(lines), complaints.line_rules(width)), a.report, mode=a.mode)
-    return complaints.clean(lines, width)
+    split = complaints.split_lines(lines, width=width)
+    return _audited(spark, split, complaints.line_rules(), complaints.typed, a)
 
 
 def sort_sheets(spark: SparkSession, a) -> None:
-    """Decoded sheets, named by district and year, to one directory per both."""
-    raw = readers.named_files(spark, a.input, SALE_RAW_SCHEMA, SHEET_NAME, {"district": "string", "year": "string"})
-    if a.unnamed:
-        writers.parquet_table(raw.filter("district IS NULL OR year IS NULL"), a.unnamed, mode=a.mode)
-    elif not raw.filter("district IS NULL OR year IS NULL").isEmpty():
+    """Decoded sheets, named by district and year, to one directory per both.
+
+    What the names tell is known from the listing, so the sheets are read once.
+    """
+    parts = {"district": "string", "year": "string"}
+    names = readers.file_parts(spark, a.input, SHEET_NAME, parts)
+    unnamed = [f for f, found in names.items() if found["district"] is None]
+    named = [f for f in names if f not in unnamed]
+    if unnamed and not a.unnamed:
         raise SystemExit("some file names tell no district and year; name a folder for their rows with --unnamed")
-    if not a.rolling_year and not raw.filter("year = 'rolling'").isEmpty():
+    if not a.rolling_year and any(names[f]["year"] == "rolling" for f in named):
         raise SystemExit("there are rolling sheets; say with --rolling-year which year of them to keep")
-    rows = sales.sheet_rows(raw.filter("year <> 'rolling'"))
+    if a.unnamed:
+        raw = readers.csv_table(spark, unnamed, SALE_RAW_SCHEMA, header=False, sep=";") if unnamed else spark.createDataFrame([], SALE_RAW_SCHEMA)
+        writers.parquet_table(raw, a.unnamed, mode=a.mode)
+    if not named:
+        return
+    rows = sales.sheet_rows(readers.named_files(spark, named, SALE_RAW_SCHEMA, SHEET_NAME, parts))
     if a.rolling_year:
-        current = sales.sheet_rows(raw.filter("year = 'rolling'"), only_year=a.rolling_year[-2:])
-        rows = rows.unionByName(current.selectExpr(*SALE_RAW_SCHEMA.names, "district", f"'{int(a.rolling_year)}' AS year"))
+        rolling = F.col("year") == "rolling"
+        rows = rows.filter(~rolling | sales.of_year(a.rolling_year[-2:]))
+        rows = rows.withColumn("year", F.when(rolling, F.lit(str(int(a.rolling_year)))).otherwise(F.col("year")))
     writers.partitioned_csv(rows, a.output, ["district", "year"], mode=a.mode)
 
 
@@ -75,11 +94,11 @@ def _sheet_cells(spark: SparkSession, path: str) -> DataFrame:
 
 def clean_sales(spark: SparkSession, a) -> DataFrame:
     cells = _sheet_cells(spark, a.input)
-    if a.report:
-        writers.parquet_table(quality.attrition(sales.figures(cells), sales.figure_rules()), a.report, mode=a.mode)
-    if a.rejects:
+    if a.rejects:  # the four cells are stored, so that the sheets are read once
+        cells = materialise(cells)
         writers.parquet_table(quality.bad_numbers(cells, sales.FIGURES), a.rejects, mode=a.mode)
-    return sales.mean_unit_price(sales.clean(cells), study.KEYS)
+    rows = _audited(spark, sales.figures(cells), sales.figure_rules(), sales.values, a)
+    return sales.mean_unit_price(rows, study.KEYS)
 
 
 def clean_listings(spark: SparkSession, a) -> DataFrame:
@@ -88,9 +107,7 @@ def clean_listings(spark: SparkSession, a) -> DataFrame:
         period, _, path = given.partition("=")
         files.setdefault(period, []).append(path)
     raw = readers.snapshot_files(spark, files, LISTING_RAW_SCHEMA, listings.TAG)
-    if a.report:
-        writers.parquet_table(quality.attrition(raw, listings.row_rules()), a.report, mode=a.mode)
-    return listings.clean(raw)
+    return _audited(spark, raw, listings.row_rules(), listings.clean, a) if a.report else listings.clean(raw)
 
 
 def profile_job(spark: SparkSession, a) -> DataFrame:
@@ -185,7 +202,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--output", required=True)
         p.add_argument("--format", default="parquet", choices=FORMATS)
         p.add_argument("--input-format", default="parquet", choices=FORMATS)
-        p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
+        p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "replace"])
         p.set_defaults(run=run)
         return p
 

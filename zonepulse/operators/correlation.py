@@ -38,6 +38,28 @@ def key_moments(facts: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def merge_moments(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key from rows of ``key_moments`` that were taken of disjoint facts.
+
+    Two sets of facts have the moments of their union: counts add up, the mean is the
+    weighted one, and the squared deviations add up with that of the two means. A key's rows
+    are merged two at a time, in an order that does not depend on how they came in. A key has at most one row per part that was fed.
+    """
+    rows = F.array_sort(F.collect_list(F.struct("n", "mean", "spread")))
+
+    def merge(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        off = b["mean"] - a["mean"]
+        share = b["n"] / n
+        spread = a["spread"] + b["spread"] + off * off * a["n"] * share
+        return F.struct(n.alias("n"), (a["mean"] + off * share).alias("mean"), spread.alias("spread"))
+
+    first = F.element_at("_rows", 1)
+    folded = F.aggregate(F.slice("_rows", 2, F.size("_rows")), first, merge)
+    grouped = parts.groupBy(*keys).agg(rows.alias("_rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return grouped.withColumn("_all", folded).select(*keys, "_all.n", "_all.mean", "_all.spread", "low", "high")
+
+
 def correlate_by_shift(
     facts: DataFrame,
     signals: DataFrame,
@@ -57,8 +79,15 @@ def correlate_by_shift(
     matched keys, ``n_<signal>`` those whose key has the signal; a NULL signal takes its
     facts out of its own correlation only. Shifts without a common key give no row.
     """
+    return correlate_moments(key_moments(facts, [month, zone], value), signals, shifts, signal_columns, month, zone, place)
+
+
+def correlate_moments(
+    moments: DataFrame, signals: DataFrame, shifts: list[int], signal_columns: list[str], month: str = "month", zone: str = "zone", place: int = 6
+) -> DataFrame:
+    """``correlate_by_shift`` from the facts' moments, one row per (month, zone)."""
     moved = shifted_all(signals.select(month, zone, *signal_columns), shifts, month)
-    matched = materialise(moved.join(key_moments(facts, [month, zone], value), [month, zone]).drop(month, zone))
+    matched = materialise(moved.join(moments, [month, zone]).drop(month, zone))
     weight = {s: F.when(F.col(s).isNotNull(), F.col("n")) for s in signal_columns}
     centres = matched.groupBy("shift").agg(
         *((F.sum(w * F.col("mean")) / F.sum(w)).alias(f"level_{s}") for s, w in weight.items()),

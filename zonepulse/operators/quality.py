@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_plain_number
@@ -16,22 +16,46 @@ def keep(df: DataFrame, rules: Rules) -> DataFrame:
     return df
 
 
-def attrition(df: DataFrame, rules: Rules) -> DataFrame:
-    """Rows left after each rule, applied in order: (step, rule, surviving).
-
-    All steps are counted in one pass over the input.
-    """
+def _counts(rules: Rules) -> list[Column]:
+    """Rows in all, and rows that pass each rule and those before it, as aggregates."""
     passed = F.lit(True)
     counts = [F.count(F.lit(1)).alias("s0")]
     for i, (_, condition) in enumerate(rules, start=1):
         passed = passed & F.coalesce(condition, F.lit(False))
         counts.append(F.count_if(passed).alias(f"s{i}"))
+    return counts
+
+
+def observed(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation]:
+    """The rows that ``keep`` keeps, and the counts of ``attrition`` from the same pass.
+
+    The counts are there once an action has run over all rows, such as a write, and
+    ``observed_attrition`` waits for it. Give the rows to a stage that ends in a stored
+    table without a shuffle between: what a lost executor makes Spark compute again
+    before a shuffle would be counted again.
+    """
+    seen = Observation()
+    return keep(df.observe(seen, *_counts(rules)), rules), seen
+
+
+def observed_attrition(spark: SparkSession, seen: Observation, rules: Rules) -> DataFrame:
+    """(step, rule, surviving) as ``attrition`` has it."""
+    found = seen.get
+    names = ["all rows", *(name for name, _ in rules)]
+    return spark.createDataFrame([(i, name, found[f"s{i}"]) for i, name in enumerate(names)], "step int, rule string, surviving long")
+
+
+def attrition(df: DataFrame, rules: Rules) -> DataFrame:
+    """Rows left after each rule, applied in order: (step, rule, surviving).
+
+    All steps are counted in one pass over the input.
+    """
     names = ["all rows", *(name for name, _ in rules)]
     steps = [
         F.struct(F.lit(i).alias("step"), F.lit(name).alias("rule"), F.col(f"s{i}").alias("surviving"))
         for i, name in enumerate(names)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*steps)))
+    return df.agg(*_counts(rules)).select(F.inline(F.array(*steps)))
 
 
 def bad_numbers(df: DataFrame, cells: dict[str, str], limit: int | None = None) -> DataFrame:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.months import month_text
 from ..operators import aggregates, profile
-from ..operators.correlation import correlate_by_shift
+from ..operators.correlation import correlate_by_shift, correlate_moments
+from ..operators.partials import MomentStore
 from ..schemas import COMPLAINT_TOTAL, SALE_PRICE
+from ..session import scratch_path
 from ..sources.readers import tagged_snapshots
 from . import complaints, roles, sales, study
 from .catalog import Tables, query
@@ -97,20 +99,33 @@ def pearson_corr(t: Tables) -> DataFrame:
     return found.select(F.col(f"corr_{SALE_PRICE}").alias("corr_sale_price"), F.col(f"corr_{COMPLAINT_TOTAL}").alias("corr_complaints"))
 
 
-@query(
-    f"""WITH l AS ({roles.DUCK_LISTINGS}),
+_CORR_BY_SHIFT = f"""WITH l AS ({roles.DUCK_LISTINGS}),
     s AS (SELECT month, zone, {roles.DUCK_UNIT_PRICE} AS u FROM ({roles.DUCK_SALES}) GROUP BY ALL),
     c AS (SELECT month, zone, count(*) AS a FROM ({roles.DUCK_COMPLAINTS}) GROUP BY ALL),
     x AS (SELECT CAST(k AS INT) AS shift, {roles.DUCK_SHIFT.format(k='k')} AS month, zone, u, a
           FROM s JOIN c USING (month, zone), range(0, 7) r(k))
     SELECT shift, count(*) AS n, {_corr_sql('price', 'u')} AS corr_real_estate_price, {_corr_sql('price', 'a')} AS corr_all_type_complaint
     FROM x JOIN l USING (month, zone) GROUP BY shift"""
-)
+
+
+@query(_CORR_BY_SHIFT)
 def corr_by_shift(t: Tables) -> DataFrame:
     found = study.correlations(roles.listings(t), roles.complaints(t), _sale_means(t))
     return found.select("shift", "n", f"corr_{SALE_PRICE}", f"corr_{COMPLAINT_TOTAL}")
 
 
+@query(_CORR_BY_SHIFT)
+def corr_from_partials(t: Tables) -> DataFrame:
+    """``corr_by_shift`` from moments that were stored in three parts, not in their order, one of them twice."""
+    rows = roles.listings(t)
+    store = MomentStore(t.spark, scratch_path(t.spark, "moments"), KEYS, "price")
+    for part in (2, 0, 1, 2):
+        store.feed(rows.filter(F.col("listing_id") % 3 == part), str(part))
+    signals = study.neighbourhood_profile(roles.complaints(t), _sale_means(t), shift=0)
+    found = correlate_moments(store.moments(), signals, study.SHIFTS, [SALE_PRICE, COMPLAINT_TOTAL])
+    return found.select("shift", "n", f"corr_{SALE_PRICE}", f"corr_{COMPLAINT_TOTAL}")
+
+
 @query(
     f"""WITH l AS ({roles.DUCK_LISTINGS}),
     s AS (SELECT month, zone, avg(CASE WHEN zone % 4 <> 1 THEN price / area END) AS u FROM ({roles.DUCK_SALES}) GROUP BY ALL),

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import split_outer_comma
+from ..functions.text import csv_record
 from ..operators import aggregates, quality
+from ..session import materialise
 from . import complaints, listings, roles, sales
 from .catalog import Tables, query
 
@@ -29,7 +30,7 @@ def _cells(t: Tables) -> DataFrame:
 @query(f"SELECT o_orderkey, {LINE} AS line FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 5 <> 0")
 def filter_column_count(t: Tables) -> DataFrame:
     lines = t.orders.selectExpr("o_orderkey", f"{LINE} AS line")
-    return lines.filter(rules.has_width(split_outer_comma("line", keep_trailing=False), 3))
+    return lines.filter(rules.fits(csv_record("line", 3)))
 
 
 @query(f"SELECT * FROM ({DUCK_CELLS}) WHERE number <> '' AND zip <> '' AND amount <> ''")
@@ -159,8 +160,7 @@ def dq_attrition_report(t: Tables) -> DataFrame:
     return quality.attrition(split, complaints.line_rules())
 
 
-@query(
-    f"""WITH x AS (SELECT zip <> '' AS a, price <> '-' AS b, area NOT IN ('0', '- 5') AS c, price <> '- 0' AS d,
+_SALE_STEPS = f"""WITH x AS (SELECT zip <> '' AS a, price <> '-' AS b, area NOT IN ('0', '- 5') AS c, price <> '- 0' AS d,
       length(zip) = 5 AS e, date <> '{roles.BAD_SALE_DATE}' AS f FROM ({roles.DUCK_RAW_SALES})),
     s AS (SELECT count(*) AS s0, count(*) FILTER (WHERE a) AS s1, count(*) FILTER (WHERE a AND b) AS s2,
       count(*) FILTER (WHERE a AND b AND c) AS s3, count(*) FILTER (WHERE a AND b AND c AND d) AS s4,
@@ -169,11 +169,22 @@ def dq_attrition_report(t: Tables) -> DataFrame:
     UNION ALL SELECT 2, 'numbers parse', s2 FROM s UNION ALL SELECT 3, 'area positive', s3 FROM s
     UNION ALL SELECT 4, 'price positive', s4 FROM s UNION ALL SELECT 5, 'zip length', s5 FROM s
     UNION ALL SELECT 6, 'date parses', s6 FROM s"""
-)
+
+
+@query(_SALE_STEPS)
 def dq_attrition_sales(t: Tables) -> DataFrame:
     return quality.attrition(sales.figures(sales.select_cells(roles.raw_sales(t))), sales.figure_rules())
 
 
+@query(_SALE_STEPS + " UNION ALL SELECT 7, 'stored', s6 FROM s")
+def clean_sales_observed(t: Tables) -> DataFrame:
+    """The audit from the pass that cleans and stores the sales, and the rows stored."""
+    kept, seen = quality.observed(sales.figures(sales.select_cells(roles.raw_sales(t))), sales.figure_rules())
+    stored = materialise(sales.values(kept))
+    steps = quality.observed_attrition(t.spark, seen, sales.figure_rules())
+    return steps.unionByName(stored.agg(F.lit(7).alias("step"), F.lit("stored").alias("rule"), F.count(F.lit(1)).alias("surviving")))
+
+
 @query(
     f"""WITH x AS (SELECT cleaning_fee IS NOT NULL AND security_deposit IS NOT NULL AS a,
       coalesce(regexp_full_match(zipcode, '[0-9]{{5}}'), FALSE) AS b,

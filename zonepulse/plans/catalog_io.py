@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.months import month_text
 from ..schemas import LISTING_RAW_SCHEMA, LISTING_SCHEMA, SALE_MEAN_SCHEMA, SALE_PRICE, SALE_RAW_SCHEMA
 from ..session import scratch_path
 from ..sources import readers, writers
@@ -180,6 +181,27 @@ def sink_parquet(t: Tables) -> DataFrame:
     return readers.parquet_table(t.spark, _through(t, rows, writers.parquet_table, "columns"))
 
 
+@query("SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month FROM orders")
+def sink_replace_period(t: Tables) -> DataFrame:
+    """A tree by month, one month of which is spoilt and then written again, and again."""
+    rows = t.orders.select("o_orderkey", "o_totalprice", month_text("o_orderdate").alias("month"))
+    path = _through(t, rows, writers.parquet_table, "months", by=["month"])
+    month = rows.filter(F.col("month") == "1998-01")
+    for again in (month.withColumn("o_totalprice", F.lit(0.0)), month, month):
+        writers.parquet_table(again, path, by=["month"], mode="replace")
+    return readers.parquet_table(t.spark, path).select(*rows.columns[:2], F.col("month").cast("string").alias("month"))
+
+
+@query(f"SELECT nullif(zip, '') AS zip, price, 'queens' AS district, CAST(1997 AS INT) AS year FROM ({roles.DUCK_RAW_SALES}) WHERE district = 'queens' AND year = 1997")
+def scan_one_district_year(t: Tables) -> DataFrame:
+    """One sheet of the tree: files whose names tell another district or year are not scanned."""
+    path = _through(t, roles.raw_sales(t), writers.partitioned_csv, "sheets", by=["district", "year"])
+    parts = {"district": "string", "year": "int"}
+    only = {"district": "queens", "year": "1997"}
+    rows = readers.named_files(t.spark, f"{path}/*/*/*.csv", SALE_RAW_SCHEMA, r"district=(\w+)/year=(\d+)/", parts, only=only)
+    return rows.select(F.col("c10").alias("zip"), F.col("c19").alias("price"), "district", "year")
+
+
 @query(roles.DUCK_CLEAN_COMPLAINTS)
 def clean_complaints(t: Tables) -> DataFrame:
     """Raw lines to clean records, stored as Parquet and read back."""

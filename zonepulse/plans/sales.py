@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -30,7 +30,12 @@ def sheet_rows(raw: DataFrame, only_year: str | None = None) -> DataFrame:
     rows = raw.filter(rules.numbered_row("c0"))
     if only_year is None:
         return rows
-    return rows.filter(rules.date_in_year(f"c{SALE_POSITIONS['date']}", only_year))
+    return rows.filter(of_year(only_year))
+
+
+def of_year(two_digits: str) -> Column:
+    """The sale's date is in this year."""
+    return rules.date_in_year(f"c{SALE_POSITIONS['date']}", two_digits)
 
 
 def figures(cells: DataFrame, legacy_sign: bool = False) -> DataFrame:
@@ -53,7 +58,12 @@ def figure_rules() -> Rules:
 
 def clean(cells: DataFrame, legacy_sign: bool = False) -> DataFrame:
     """Text cells to (month, zone, area, price)."""
-    return keep(figures(cells, legacy_sign), figure_rules()).select(
+    return values(keep(figures(cells, legacy_sign), figure_rules()))
+
+
+def values(kept: DataFrame) -> DataFrame:
+    """(month, zone, area, price) of ``figures`` rows that pass the rules."""
+    return kept.select(
         format_month(F.trim("date")).alias("month"),
         F.trim("zip").alias("zone"),
         F.col("area_value").alias("area"),

@@ -3,10 +3,12 @@ read for it, and a header that does not fit the schema fails."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,52 +121,91 @@ def snapshot_files(
 ) -> DataFrame:
     """``{period: paths}`` of wide listing files whose column order may differ.
 
-    Files are grouped by their header; each group is one scan, in which the file's path
-    tells the period.
+    A path is a file, a folder or a glob. Each is resolved to its files before anything is
+    read, and a row's period is that of the very file it is in; a path without files, and
+    a file of two periods, are errors. Files are grouped by their path's header; each group
+    is one scan.
     """
-    by_header: dict[tuple, list[tuple[str, str]]] = {}
+    by_header: dict[tuple, list[str]] = {}
+    period_of: dict[str, str] = {}
     for period, paths in files.items():
         for path in [paths] if isinstance(paths, str) else paths:
+            found = listed_files(spark, path)
+            if not found:
+                raise ValueError(f"no files of {period} at {path}")
             names = tuple(_titled(spark, path, True).columns)
-            by_header.setdefault(names, []).append((period, path))
+            by_header.setdefault(names, []).extend(f for f in found if f not in period_of)
+            for f in found:
+                if period_of.setdefault(f, period) != period:
+                    raise ValueError(f"{f} is given for {period_of[f]} and for {period}")
+    known = spark.createDataFrame([(_plain(f), p) for f, p in period_of.items()], f"{FILE} string, `{tag}` string")
     scans = []
     for group in by_header.values():
-        raw = _titled(spark, [path for _, path in group], True)
-        file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        period = F.coalesce(*(F.when(_under(file, path), F.lit(p)) for p, path in group))
+        raw = _titled(spark, [unquote(f) for f in group], True)
         cells = [_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema]
-        scans.append(raw.select(*cells, period.alias(tag)))
+        rows = raw.select(*cells, _plain_column(F.col("_metadata.file_path")).alias(FILE))
+        rows = rows.join(known, FILE, "left")
+        missing = F.raise_error(F.concat(F.lit("a file of no known period: "), F.col(FILE)))
+        scans.append(rows.select(*schema.names, F.coalesce(F.col(tag), missing).alias(tag)))
     return reduce(lambda a, b: a.unionByName(b), scans)
 
 
-def _under(file, path: str):
-    """Whether a file is the path, or lies below it; the file's path has a scheme."""
-    bare = path.split("://", 1)[-1].rstrip("/")
-    bare = bare if bare.startswith("/") or "://" in path else "/" + bare
-    return file.endswith(bare) | F.contains(file, F.lit(bare + "/"))
+def listed_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files that a scan of a file, folder or glob reads, as URIs."""
+    return sorted(spark.read.text(path).inputFiles())
+
+
+def _plain(uri: str) -> str:
+    """A URI without escapes and with one slash behind the scheme, as they differ between listings."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", unquote(uri))
+
+
+def _plain_column(uri: Column) -> Column:
+    plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
 
 def named_files(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     pattern: str,
     parts: Mapping[str, str],
     sep: str = ";",
     header: bool = False,
+    only: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One scan over many files whose names carry fields.
 
     ``pattern`` is matched against the file path; ``parts`` maps each new column
     to its type, in the order of the pattern's groups; they are NULL where the name
-    does not fit it.
+    does not fit it. ``only`` keeps the files whose name has these texts for some parts:
+    the others are left out before the scan, which lists none of them.
     """
+    if only is not None:
+        path = [unquote(f) for f in listed_files(spark, path) if _fits(_name_parts(f, pattern, parts), only)]
+        if not path:
+            return spark.createDataFrame([], schema).select("*", *(F.lit(None).cast(kind).alias(c) for c, kind in parts.items()))
     df = csv_table(spark, path, schema, header=header, sep=sep, with_file=True)
     for i, (name, kind) in enumerate(parts.items(), start=1):
         df = df.withColumn(name, F.nullif(F.regexp_extract(FILE, pattern, i), F.lit("")).try_cast(kind))
     return df.drop(FILE)
 
 
+def _name_parts(file: str, pattern: str, parts: Mapping[str, str]) -> dict[str, str | None]:
+    found = re.search(pattern, file)
+    return dict(zip(parts, found.groups() if found else [None] * len(parts), strict=True))
+
+
+def _fits(found: Mapping[str, str | None], only: Mapping[str, str]) -> bool:
+    return all(found[c] == text for c, text in only.items())
+
+
+def file_parts(spark: SparkSession, path: str | list[str], pattern: str, parts: Mapping[str, str]) -> dict[str, dict[str, str | None]]:
+    """What the names of a path's files tell, by file; nothing is read but the listing."""
+    return {unquote(f): _name_parts(f, pattern, parts) for f in listed_files(spark, path)}
+
+
 def partitioned_csv(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", header: bool = False
 ) -> DataFrame:

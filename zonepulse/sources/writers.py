@@ -55,22 +55,32 @@ def partitioned_csv(
 ) -> None:
     """One directory per value of the ``by`` columns.
 
-    The rebalance hint gathers each directory's rows into few files and lets AQE
+    ``mode="replace"`` replaces the directories that ``df`` has rows for and leaves the
+    others: so one month of a stored tree can be written again. The rebalance hint gathers each directory's rows into few files and lets AQE
     split a directory that holds a large share of the data over several tasks.
     """
     _csv_writer(df.hint("rebalance", *by), header, sep, mode).partitionBy(*by).csv(path)
 
 
 def parquet_table(df: DataFrame, path: str, by: list[str] | None = None, mode: str = "errorifexists") -> None:
+    """Parquet, in directories by the ``by`` columns if given; modes as for ``partitioned_csv``."""
     if by:
-        df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+        _moded(df.hint("rebalance", *by), mode).partitionBy(*by).parquet(path)
+    elif mode == "replace":
+        raise ValueError("only directories by columns can be replaced one by one")
     else:
         df.write.mode(mode).parquet(path)
 
 
+def _moded(df: DataFrame, mode: str):
+    if mode == "replace":
+        return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return df.write.mode(mode)
+
+
 def _csv_writer(df: DataFrame, header: bool, sep: str, mode: str):
     return (
-        df.write.mode(mode)
+        _moded(df, mode)
         .option("header", header)
         .option("sep", sep)
         .option("escape", '"')
