@@ -62,9 +62,34 @@ def test_shared_prefixes_are_computed_once(encoder):
     assert len(trie.last) == 1 + len("tokenized")
 
 
+def test_memory_is_bounded_in_bytes(encoder, monkeypatch):
+    """What is held before a batch is at most the bound, however long the runs are."""
+    monkeypatch.setattr(trie_bpe, "MOST_BYTES", 100_000)
+    for n in range(8):
+        encoder.encode([f"{n}" * 60_000, " ".join(f"word{n}x{i}" for i in range(300))])
+    encoder.encode(["end"])
+    assert encoder.held <= 100_000 + 1000
+    assert encoder.held == sum(len(r) + len(v) + trie_bpe.ENTRY_BYTES for r, v in encoder.seen.items())
+
+
+def test_every_kind_of_character(encoder, library):
+    """Around letters, digits, marks and blanks, a run of 50 of each 1,000 code points."""
+    for low in range(0, 0x30000, 1000):
+        text = "".join(f"a{chr(c)}1{chr(c)}. {chr(c)}{chr(c)}, " for c in range(low, low + 50) if not 0xD800 <= c < 0xE000)
+        assert encoder.encode([text])[0] == expected(library, text), hex(low)
+
+
+def test_neighbours_equal_merging(encoder):
+    v, rng = encoder.vocabulary, random.Random(9)
+    ids = sorted(v.halves)
+    short = [i for i in ids if len(v.tokens[i]) < 3]
+    for _ in range(3000):
+        a, b = rng.choice(short if rng.random() < 0.7 else ids), rng.choice(short if rng.random() < 0.7 else ids)
+        assert v._apart(a, b) == (v.merged(v.tokens[a] + v.tokens[b]) == [a, b])
+
+
 def test_small_memories_change_nothing(encoder, library, monkeypatch):
-    monkeypatch.setattr(trie_bpe, "MOST_NODES", 50)
-    monkeypatch.setattr(trie_bpe, "MOST_WORDS", 5)
+    monkeypatch.setattr(trie_bpe, "MOST_BYTES", 3000)
     monkeypatch.setattr(trie_bpe, "MOST_PAIRS", 3)
     for text in list(random_texts(20)):
         assert encoder.encode([text])[0] == expected(library, text)

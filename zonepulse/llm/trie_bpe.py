@@ -6,11 +6,12 @@ from its prefixes' last tokens: at each byte the longest vocabulary entry that e
 there, and may follow the last token before it, is the last token. (Two tokens may be
 neighbours if BPE leaves their concatenation as these two.)
 
-Distinct words of a batch go into a trie in sorted order, which is a depth-first walk:
-the state of a shared prefix is computed at its node once and every word below starts
-from it. The trie lives as long as the Python worker and is started anew when it has
-grown to a fixed number of nodes, so memory is bounded and words of later batches find
-their prefixes.
+The distinct new words of a batch in sorted order are a trie in depth-first order: what
+consecutive words share is the path of the trie they have in common. The walk holds the
+states of one path, the last token and the longest vocabulary prefix that ends there, and
+goes back to the node where the next word branches off, so the states of a shared prefix
+are computed once. Runs of text that were encoded are remembered within a bound of bytes,
+for the length of a task.
 
 The file is the JSON of the tokenizers library: byte-level, without normalizer, with
 special tokens that are cut out of a text before anything else.
@@ -22,24 +23,29 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shipping import map_arrow
 
-MOST_NODES = 500_000
-MOST_WORDS = 500_000
-MOST_PAIRS = 500_000
+#: Bytes of the runs that a worker remembers, and how many pairs of tokens.
+MOST_BYTES = 64 << 20
+MOST_PAIRS = 200_000
+#: What a remembered run takes beside its own and its ids' characters.
+ENTRY_BYTES = 200
 
 # The byte-level pattern and the white space of Unicode.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 _PIECES = regex.compile(PIECES.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
-# A run without white space and the blank before it is cut alike wherever it stands.
-_RUNS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+# A run without white space and the blank before it is cut alike wherever it stands; so is
+# a run of letters and digits that ends before a mark, as a piece ends there.
+_RUNS = re.compile(rf" ?[^\W_]+(?=[.,;:!?])| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -51,7 +57,12 @@ def byte_letters() -> dict[int, str]:
 
 
 class Vocabulary:
-    """Tokens as bytes, merge ranks, and whether two tokens may be neighbours."""
+    """Tokens as bytes, their merges, and whether two tokens may be neighbours.
+
+    ``states`` are the distinct prefixes of tokens, 0 the empty one. Of a state: ``edge``
+    leads on by a byte (key ``state << 8 | byte``), ``fail`` is the longest shorter state it
+    ends in, ``entry`` the longest state it ends in, itself included, that is a token.
+    """
 
     def __init__(self, data: str):
         spec = json.loads(data)
@@ -65,17 +76,49 @@ class Vocabulary:
                 raise ValueError("special tokens that take their surroundings are not supported")
         if spec["normalizer"] is not None or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"]:
             raise ValueError("only byte-level files without normalizer or added space")
-        self.ranks = {}
+        #: By pair, the rank of its merge and what it becomes; by token, its rank and halves.
+        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self.halves = {self.ids[bytes([b])]: (-1, -1, -1) for b in range(256)}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             a, b = model["vocab"][a], model["vocab"][b]
-            self.ranks[a, b] = (rank, self.ids[self.tokens[a] + self.tokens[b]])
-        # The lengths of the tokens that end in a byte, longest first.
-        self.lengths: dict[int, list[int]] = {}
-        for t in self.ids:
-            self.lengths.setdefault(t[-1], []).append(len(t))
-        self.lengths = {b: sorted(set(v), reverse=True) for b, v in self.lengths.items()}
-        self.known: dict[tuple[int, int], bool] = {}
+            made = self.ids[self.tokens[a] + self.tokens[b]]
+            self.merge[a, b] = (rank, made)
+            if made in self.halves:
+                raise ValueError("a token that two merges make is not supported")
+            self.halves[made] = (rank, a, b)
+        self.known: dict[int, bool] = {}
+        self.width = {i: len(t) for i, t in self.tokens.items()}
+        self._link()
+
+    def _link(self) -> None:
+        self.edge: dict[int, int] = {}
+        self.token, above = [-1], [0]
+        for t in sorted(self.ids):
+            at = 0
+            for byte in t:
+                key = at << 8 | byte
+                to = self.edge.get(key)
+                if to is None:
+                    to = self.edge[key] = len(self.token)
+                    self.token.append(-1)
+                    above.append(key)
+                at = to
+            if self.ids[t] in self.halves:
+                self.token[at] = self.ids[t]
+        depth = [0] * len(above)
+        for state in range(1, len(above)):
+            depth[state] = depth[above[state] >> 8] + 1
+        self.fail, self.entry = [0] * len(above), [0] * len(above)
+        for state in sorted(range(1, len(above)), key=depth.__getitem__):
+            parent, byte = above[state] >> 8, above[state] & 255
+            if parent:
+                to = self.fail[parent]
+                while (to << 8 | byte) not in self.edge:
+                    to = self.fail[to]
+                self.fail[state] = self.edge[to << 8 | byte]
+            self.entry[state] = state if self.token[state] >= 0 else self.entry[self.fail[state]]
+        self.size = depth
 
     def merged(self, data: bytes) -> list[int]:
         """BPE by its definition: merge the pair of lowest rank, leftmost first."""
@@ -83,7 +126,7 @@ class Vocabulary:
         while len(out) > 1:
             best, at = None, -1
             for i in range(len(out) - 1):
-                found = self.ranks.get((out[i], out[i + 1]))
+                found = self.merge.get((out[i], out[i + 1]))
                 if found is not None and (best is None or found[0] < best[0]):
                     best, at = found, i
             if best is None:
@@ -91,92 +134,88 @@ class Vocabulary:
             out[at : at + 2] = [best[1]]
         return out
 
+    def _apart(self, a: int, b: int) -> bool:
+        """Whether no merge reaches over the border of two tokens.
+
+        Their merges are undone from the last on. Whenever the tokens that then touch the
+        border could merge, they do so unless one of them is taken by its own side before:
+        by a merge of lower rank or, of equal rank, by the one further left.
+        """
+        merge, halves = self.merge, self.halves
+        taken = (1 << 60, 0)  # rank, and 1 if an equal rank over the border comes first
+        while True:
+            over = merge.get((a, b))
+            if over is not None and (over[0], 0) < taken:
+                return False
+            left, right = halves[a], halves[b]
+            if left[0] > right[0]:
+                taken, a = (left[0], 0), left[2]
+            elif right[0] >= 0:
+                taken, b = (right[0], 1), right[1]
+            else:
+                return True
+
     def neighbours(self, a: int, b: int) -> bool:
-        found = self.known.get((a, b))
-        if found is None:
-            if len(self.known) >= MOST_PAIRS:
-                self.known.clear()
-            found = self.known[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
+        if len(self.known) >= MOST_PAIRS:
+            self.known.clear()
+        found = self.known[a << 24 | b] = self._apart(a, b)
         return found
 
 
 class Trie:
-    """Words by their prefixes; each node knows the last token of its prefix's encoding.
-
-    A node is kept under the prefix it stands for, so the deepest node that a word shares
-    with the words before is found from the word's end, in about as many steps as there
-    are nodes to add. Words of more than ``LONGEST`` bytes do not enter: their prefixes'
-    states are worked out in a row of their own.
-    """
-
-    LONGEST = 64
+    """Words in the order of their trie; ``last`` and ``states`` are those of the path walked."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.size = {i: len(t) for i, t in vocabulary.tokens.items()}
-        self.clear()
-
-    def clear(self) -> None:
-        self.last: dict[bytes, int] = {b"": -1}
-
-    def _alone(self, word: bytes) -> list[int]:
-        ids, lengths, neighbours = self.vocabulary.ids, self.vocabulary.lengths, self.vocabulary.neighbours
-        last = [-1]
-        for end in range(1, len(word) + 1):
-            for n in lengths[word[end - 1]]:
-                token = ids.get(word[end - n : end]) if n <= end else None
-                if token is not None and (last[end - n] < 0 or neighbours(last[end - n], token)):
-                    break
-            last.append(token)
-        out, at = [], len(word)
-        while at:
-            out.append(last[at])
-            at -= self.size[last[at]]
-        return out[::-1]
+        self.last, self.states = [-1], [0]
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Encodings of distinct words, given in sorted order: a depth-first walk."""
-        if len(self.last) > MOST_NODES:
-            self.clear()
-        vocabulary, last, size = self.vocabulary, self.last, self.size
-        ids, known, lengths, neighbours = vocabulary.ids, vocabulary.known, vocabulary.lengths, vocabulary.neighbours
-        out = []
+        v = self.vocabulary
+        edge, fail, entry, token_of, size, known, neighbours = v.edge, v.fail, v.entry, v.token, v.size, v.known, v.neighbours
+        last, states = self.last, self.states
+        del last[1:], states[1:]
+        width = v.width
+        out, before_word = [], b""
         for word in words:
-            whole = len(word)
-            if whole > self.LONGEST:
-                out.append(self._alone(word))
-                continue
-            end = whole
-            while word[:end] not in last:
-                end -= 1
-            while end < whole:
+            shared = 0
+            for x, y in zip(before_word, word, strict=False):
+                if x != y:
+                    break
+                shared += 1
+            before_word = word
+            del last[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
+            end = shared
+            for byte in word[shared:]:
                 end += 1
-                for n in lengths[word[end - 1]]:
-                    if n > end:
-                        continue
-                    token = ids.get(word[end - n : end])
-                    if token is None:
-                        continue
-                    before = last[word[: end - n]]
+                to = edge.get(state << 8 | byte)
+                while to is None:
+                    state = fail[state]
+                    to = edge.get(state << 8 | byte)
+                state = to
+                at = entry[to]
+                while True:
+                    token = token_of[at]
+                    before = last[end - size[at]]
                     if before < 0:
                         break
-                    ok = known.get((before, token))
+                    ok = known.get(before << 24 | token)
                     if neighbours(before, token) if ok is None else ok:
                         break
-                last[word[:end]] = token
-            tokens, at = [], whole
+                    at = entry[fail[at]]
+                last.append(token)
+                states.append(to)
+            tokens, at = [], end
             while at:
-                token = last[word[:at]]
+                token = last[at]
                 tokens.append(token)
-                at -= size[token]
+                at -= width[token]
             tokens.reverse()
             out.append(tokens)
         return out
 
 
-_MARKS = frozenset(".,;:!?")
-
-
 def _is_word(run: str) -> bool:
     """Letters only, but for the blank before them: one piece."""
     return run.isalpha() or (run[:1] == " " and run[1:].isalpha())
@@ -188,62 +227,61 @@ class Encoder:
     def __init__(self, data: str):
         self.vocabulary = Vocabulary(data)
         self.trie = Trie(self.vocabulary)
-        # Of each run: the number of its ids, the ids in decimal, and the bytes they decode to.
-        self.seen: dict[str, tuple[int, str, bytes]] = {}
         self.printed = {str(i): t for i, t in self.vocabulary.tokens.items()}
         self.printed |= {str(i): t.encode() for t, i in self.vocabulary.special.items()}
-        marks = sorted(self.vocabulary.special, key=len, reverse=True)
+        self.special = {t: str(i) for t, i in self.vocabulary.special.items()}
+        self._hold({})
+        marks = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, marks)) + ")") if marks else None
 
-    def _parts(self, text: str) -> list[str]:
-        return self.cut.split(text) if self.cut is not None and any(m in text for m in self.vocabulary.special) else [text]
+    def _runs(self, text: str) -> list[str]:
+        if self.cut is None or not any(m in text for m in self.special):
+            return _RUNS.findall(text)
+        parts = self.cut.split(text)
+        return [r for i, p in enumerate(parts) for r in ([p] if i % 2 else _RUNS.findall(p))]
+
+    def _forget(self) -> None:
+        """Short runs are the frequent ones."""
+        kept = {r: v for r, v in self.seen.items() if len(r) <= 6}
+        self._hold(kept)
+        if self.held > MOST_BYTES // 2:
+            self._hold({})
+
+    def clear(self) -> None:
+        self._hold({})
+        self.vocabulary.known.clear()
+
+    def _hold(self, runs: dict[str, str]) -> None:
+        """Set what is remembered: of each run its ids in decimal, which decode to the run, as is
+        tried when it is learnt. A run that spells a special token was cut out of its text."""
+        runs = runs | self.special
+        self.seen, self.held = runs, sum(len(r) + len(v) + ENTRY_BYTES for r, v in runs.items())
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of ids, ids in decimal joined by commas, text decoded from them) each."""
+        if self.held > MOST_BYTES:
+            self._forget()
+        runs = [self._runs(t) for t in texts]
+        new = set().union(*runs)
+        new.difference_update(self.seen)
+        self._learn(list(new))
         seen = self.seen
-        if len(seen) > MOST_WORDS:
-            # Short runs are the frequent ones.
-            self.seen = seen = {r: v for r, v in seen.items() if len(r) <= 6} if len(seen) < 2 * MOST_WORDS else {}
-        parts = [self._parts(t) for t in texts]
-        runs = [[_RUNS.findall(p) if not i % 2 else [p] for i, p in enumerate(ps)] for ps in parts]
-        new = set()
-        for rs in runs:
-            for i, r in enumerate(rs):
-                if not i % 2:
-                    new.update(r)
-        self._learn([r for r in new if r not in seen])
-        special = {t: (1, str(i), t.encode()) for t, i in self.vocabulary.special.items()}
         out = []
         for rs in runs:
-            found = [seen[r] if not i % 2 else special[r] for i, part in enumerate(rs) for r in part]
-            sizes, ids, data = zip(*found, strict=True) if found else ((), (), ())
-            # Bytes may only make sense across runs, so they are decoded as one.
-            out.append((sum(sizes), ",".join(ids), b"".join(data).decode("utf-8", "replace")))
+            ids = ",".join(map(seen.__getitem__, rs))
+            out.append((ids.count(",") + 1 if ids else 0, ids, "".join(rs)))
         return out
 
     def _learn(self, runs: list[str]) -> None:
-        """Remember runs. A word with one mark behind it is the word and the mark."""
-        marked, plain = [], set()
-        for r in runs:
-            if r[-1] in _MARKS and _is_word(r[:-1]):
-                marked.append(r)
-                plain.add(r[:-1])
-                plain.add(r[-1])
-            else:
-                plain.add(r)
-        self._learn_plain([r for r in plain if r not in self.seen])
-        for r in marked:
-            (n, ids, data), (m, mark, end) = self.seen[r[:-1]], self.seen[r[-1]]
-            self.seen[r] = (n + m, f"{ids},{mark}", data + end)
-
-    def _learn_plain(self, runs: list[str]) -> None:
         pieces = {r: [r.encode()] if _is_word(r) else [p.encode() for p in _PIECES.findall(r)] for r in runs}
         words = sorted({p for ps in pieces.values() for p in ps})
-        ids = dict(zip(words, self.trie.encode(words), strict=True))
+        ids = {w: ",".join(map(str, tokens)) for w, tokens in zip(words, self.trie.encode(words), strict=True)}
         for run, ps in pieces.items():
-            tokens = [t for p in ps for t in ids[p]]
-            ids_text = ",".join(map(str, tokens))
-            self.seen[run] = (len(tokens), ids_text, b"".join(map(self.printed.__getitem__, ids_text.split(","))))
+            found = ids[ps[0]] if len(ps) == 1 else ",".join(map(ids.__getitem__, ps))
+            if b"".join(map(self.printed.__getitem__, found.split(","))) != run.encode():
+                raise ValueError("ids do not decode to their text")
+            self.seen[run] = found
+            self.held += len(run) + len(found) + ENTRY_BYTES
 
     def decode(self, ids: str) -> str:
         """Text of decimal ids; bytes that are no UTF-8 become the replacement character."""
@@ -254,7 +292,7 @@ _WORKER: dict[str, Encoder] = {}
 
 
 def _encoder(data: str) -> Encoder:
-    """One encoder per Python worker and vocabulary: its trie outlives a task."""
+    """One encoder per Python worker and vocabulary, which is of fixed size; runs are forgotten with the task."""
     key = f"{len(data)}:{hash(data)}"
     if key not in _WORKER:
         _WORKER.clear()
@@ -262,29 +300,28 @@ def _encoder(data: str) -> Encoder:
     return _WORKER[key]
 
 
-def _rows(data, most_chars: int = 2 << 20):
+def _rows(data, most_bytes: int = 512 << 10):
+    def coded(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, before + most_bytes, side="right")), at + 1)
+            part = batch.slice(at, to - at)
+            found = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+            n, ids, decoded = zip(*found, strict=True)
+            made = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[2:], *made], ["id", *batch.schema.names[2:], "n_tokens", "ids", "decoded"])
+            at = to
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(data.value)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
-                to, chars = at, 0
-                while to < len(texts) and (to == at or chars < most_chars):
-                    chars += len(texts[to] or "")
-                    to += 1
-                coded = encoder.encode([t or "" for t in texts[at:to]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, to - at),
-                        *(c.slice(at, to - at) for c in batch.columns[2:]),
-                        pa.array([c[0] for c in coded], pa.int64()),
-                        pa.array([c[1] for c in coded], pa.string()),
-                        pa.array([c[2] for c in coded], pa.string()),
-                    ],
-                    ["id", *batch.schema.names[2:], "n_tokens", "ids", "decoded"],
-                )
-                at = to
+        try:
+            for batch in batches:
+                yield from coded(encoder, batch)
+        finally:  # the worker lives on and may do other work
+            encoder.clear()
+            pa.default_memory_pool().release_unused()
 
     return run
 
