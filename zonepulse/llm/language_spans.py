@@ -26,6 +26,8 @@ from .text import chunks
 
 #: Labelled rows used for fitting, chosen by the hash of their ids.
 SAMPLE_ROWS = 20_000
+#: Bytes of text that are worked on at a time; a longer text is one piece.
+CHUNK_BYTES = 512 << 10
 GRAM_BITS = 15
 ORDERS = (1, 2, 3, 4)
 #: Cost of a change of language between two words, in nats.
@@ -141,7 +143,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
         languages = np.array(batch.column(0).to_pylist(), dtype=object)
-        for chunk in chunks(batch.column(1)):
+        for chunk in chunks(batch.column(1), most_bytes=CHUNK_BYTES):
             own = languages[chunk.first : chunk.first + chunk.n_texts]
             letters = Letters(chunk)
             text = np.searchsorted(chunk.bounds, letters.word, side="right") - 1
@@ -259,7 +261,7 @@ def _predict(shared, penalty: float):
         names = pa.array([*model.languages, "und"])
         langs = len(model.languages)
         for batch in batches:
-            for chunk in chunks(batch.column(1), most_bytes=2 << 20):
+            for chunk in chunks(batch.column(1), most_bytes=CHUNK_BYTES):
                 letters = Letters(chunk)
                 scores, size, known = word_scores(letters, model)
                 n = chunk.n_texts
@@ -289,6 +291,7 @@ def _predict(shared, penalty: float):
                     ],
                     ["id", *batch.schema.names[2:], "lang_pred", "score", "spans"],
                 )
+            pa.default_memory_pool().release_unused()
 
     return run
 

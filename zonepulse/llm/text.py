@@ -8,6 +8,7 @@ longer character equals one, so the array form works on the bytes of a whole bat
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -54,15 +55,20 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class _Powers:
-    """Powers of the hash base, grown as longer chunks come."""
+    """Powers of the hash base and of its inverse; those of longer chunks are not kept."""
 
+    KEPT = 1 << 21
     up = _powers(_BASE, 1 << 16)
     down = _powers(_UNBASE, 1 << 16)
 
     @classmethod
-    def cover(cls, n: int) -> None:
-        if len(cls.up) < n:
-            cls.up, cls.down = _powers(_BASE, n), _powers(_UNBASE, n)
+    def cover(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) >= n:
+            return cls.up, cls.down
+        up, down = _powers(_BASE, n), _powers(_UNBASE, n)
+        if n <= cls.KEPT:
+            cls.up, cls.down = up, down
+        return up, down
 
 
 class Chunk:
@@ -72,7 +78,7 @@ class Chunk:
     ``bytes``   the texts' bytes in one array
     ``starts``, ``ends``  where each word lies in it
     ``bounds``  word numbers at which texts begin, one more at the end
-    ``hashes``  one value per word
+    ``hashes``  one value per word, worked out when asked for
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int, lower: bool):
@@ -92,11 +98,15 @@ class Chunk:
         closes &= inside
         self.ends = np.flatnonzero(closes) + 1
         self.bounds = np.searchsorted(self.starts, offsets)
-        _Powers.cover(len(data) + 1)
-        code = LOWER_ASCII[data] if lower else data
+        self.lower = lower
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        data = LOWER_ASCII[self.bytes] if self.lower else self.bytes
+        up, down = _Powers.cover(len(data) + 1)
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((code.astype(np.uint64) + np.uint64(1)) * _Powers.up[: len(data)], out=sums[1:])
-        self.hashes = mix((sums[self.ends] - sums[self.starts]) * _Powers.down[self.starts])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
     def n_words(self) -> np.ndarray:
         return np.diff(self.bounds)
