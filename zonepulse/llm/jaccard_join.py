@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -254,13 +254,19 @@ class JaccardJoin:
         known = rows.join(found, rows.rep == found.node, "left").withColumn("part", F.coalesce("component", "rep"))
         known = known.select("gram", "rep", "n", "place", "band", "part")
         mixed = known.groupBy("gram").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q")
-        known = materialise(known.join(mixed.select("gram"), "gram"))
-        left = known.select("gram", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "place", "part")), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-        right = known.select("gram", "band", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "place", "part")))
+        # The n-gram before this one in the class's order, of those that are joined.
+        before = F.lag("gram").over(Window.partitionBy("rep").orderBy("place"))
+        known = materialise(known.join(mixed.select("gram"), "gram").withColumn("before", before))
+        left = known.select("gram", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "place", "part", "before")), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+        right = known.select("gram", "band", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "place", "part", "before")))
         rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
         # The first shared n-gram of a pair leaves room enough in both, so the pair stays through it.
         fits = rest * (self.t[0] + self.t[1]) >= _worst(F.col("n_a"), F.col("n_b"), self.t)
-        across = left.join(right, ["gram", "band"]).filter((F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & _like_size("n_a", "n_b", self.t) & fits)
+        # Where the n-grams before it are one too, the pair is named there: near copies share
+        # hundreds, but are named once to a run of them.
+        starts = F.col("before_a").isNull() | F.col("before_b").isNull() | (F.col("before_a") != F.col("before_b"))
+        two = (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & starts
+        across = left.join(right, ["gram", "band"]).filter(two & _like_size("n_a", "n_b", self.t) & fits)
         pairs = across.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
         second = self._verified(self._plausible(pairs))
         self.links = self.links.unionByName(second.filter("linked").select("a", "b"))
