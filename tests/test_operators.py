@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from datetime import date, timedelta
 import random
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.operators import aggregates, correlation, joins, profile, quality
 from zonepulse.operators.correlation import correlate_by_shift, pearson
-from zonepulse.operators.partials import MomentStore
+from zonepulse.operators.partials import MomentStore, SketchStore
 
 
 def rows(df):
@@ -167,6 +168,48 @@ def test_profile(spark):
     assert [tuple(r) for r in profile.schema_rows(df).collect()] == [(0, "i", "int", 3), (1, "s", "string", 2), (2, "d", "double", 2)]
 
 
+def test_exact_distinct_over_kinds(spark):
+    ends = [-(2**63), 2**63 - 1, -1, 0, 63, 64, -64, -65, 0, None, 63]
+    rows = [(v, None if v is None else v % 7 - 3, f"s{v}", None if v is None else date(1970, 1, 1) + timedelta(days=v % 100 - 50)) for v in ends]
+    df = spark.createDataFrame(rows, "v long, small tinyint, s string, d date")
+    counted = profile.distinct_counts(df, df.columns, exact=True)
+    known = [r for r in rows if r[0] is not None]
+    assert dict(map(tuple, counted.collect())) == {"v": 8, "small": len({r[1] for r in known}), "s": 9, "d": len({r[3] for r in known})}
+    assert "Expand" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert dict(map(tuple, profile.distinct_counts(df.limit(0), ["v", "s"], exact=True).collect())) == {"v": 0, "s": 0}
+
+
+def test_dense_keys_meet_as_masks(spark):
+    masks = profile._exact_count(spark.range(0, 64_000, 1, 4), "id")
+    masks.collect()
+    nodes = masks._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in nodes
+    assert masks.first()["n_distinct"] == 64_000
+
+
+def test_sketches_of_parts(spark, tmp_path):
+    df = spark.range(60_000).select("id", (F.col("id") % 9000).alias("a"), (F.col("id") % 7).cast("string").alias("b"))
+    store = SketchStore(spark, str(tmp_path / "s"), ["a", "b"])
+    assert store.missing(["0", "1"]) == ["0", "1"]
+    for part in (1, 0, 1):
+        store.feed(df.filter(F.col("id") % 2 == part), str(part))
+    assert store.parts() == ["0", "1"] and store.stored().count() == 2
+    got = dict(map(tuple, store.distinct_counts().collect()))
+    assert math.isclose(got["a"], 9000, rel_tol=0.065) and got["b"] == 7
+
+
+def test_footer_profile(spark, tmp_path):
+    path = str(tmp_path / "f")
+    spark.range(5000).select("id", (F.col("id") * 0.5 - 3).alias("x"), F.lit("t").alias("t")).repartition(3).write.parquet(path)
+    found = profile.footer_profile(path, spark, ["id", "x"])
+    assert sorted(map(tuple, found.collect())) == [("id", 5000, "0", "4999"), ("x", 5000, "-3.0", "2496.5")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan" in plan and "max(id)" in plan.split("BatchScan")[1]
+    with pytest.raises(ValueError):
+        profile.footer_profile(path, spark, ["t"])
+    assert "FileScan" in spark.read.parquet(path)._jdf.queryExecution().executedPlan().toString()  # the caller's session is as it was
+
+
 def test_approximate_distinct_is_close(spark):
     df = spark.range(50_000).select((F.col("id") % 9000).alias("a"), (F.col("id") % 7).alias("b"))
     exact = {r[0]: r[1] for r in profile.distinct_counts(df, ["a", "b"], exact=True).collect()}

@@ -34,6 +34,11 @@ def test_equals_sql(spark, data, duck, name):
         assert banned not in plan
 
 
+def test_bucketed_join_does_not_shuffle(spark, data):
+    plan = QUERIES["training_frame_bucketed"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_every_own_query_has_a_twin():
     assert set(OWN) == set(QUERIES) - contract.optional()
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.months import month_text
 from ..operators import aggregates, profile
 from ..operators.correlation import correlate_by_shift, correlate_moments
-from ..operators.partials import MomentStore
+from ..operators.partials import MomentStore, SketchStore
 from ..schemas import COMPLAINT_TOTAL, SALE_PRICE
 from ..session import scratch_path
 from ..sources.readers import tagged_snapshots
@@ -185,6 +185,40 @@ def approx_distinct_counts(t: Tables) -> DataFrame:
     return exact.join(near, "column_name").select("column_name", "n_exact", close.alias("sketch_is_close"))
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_exact, TRUE AS sketch_is_close FROM lineitem" for c in _SKETCHED
+    )
+)
+def distinct_counts_merged(t: Tables) -> DataFrame:
+    """Sketches stored by ship year, which share most of their keys, some of them fed again,
+    against exact counts: within four standard errors of the merged sketch."""
+    store = SketchStore(t.spark, scratch_path(t.spark, "sketches"), _SKETCHED)
+    rows = t.lineitem.withColumn("year", F.year("l_shipdate"))
+    years = sorted(r[0] for r in rows.select("year").distinct().collect())  # a handful
+    for year in [*years[::-1], years[0]]:
+        store.feed(rows.filter(F.col("year") == year), str(year))
+    near = store.distinct_counts().withColumnRenamed("n_distinct", "n_near")
+    exact = profile.distinct_counts(t.lineitem, _SKETCHED, exact=True).withColumnRenamed("n_distinct", "n_exact")
+    bound = 4 * 1.04 / 2 ** (store.lg_k / 2)
+    close = F.abs(F.col("n_near") - F.col("n_exact")) <= bound * F.col("n_exact")
+    return exact.join(near, "column_name").select("column_name", "n_exact", close.alias("sketch_is_close"))
+
+
+_FOOTERS = ["l_orderkey", "l_linenumber", "l_quantity"]
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS n_rows, CAST(min({c}) AS VARCHAR) AS min_value,
+        CAST(max({c}) AS VARCHAR) AS max_value FROM lineitem"""
+        for c in _FOOTERS
+    )
+)
+def footer_profile(t: Tables) -> DataFrame:
+    return profile.footer_profile(f"{t.folder}/lineitem.parquet", t.spark, _FOOTERS)
+
+
 @query(
     """SELECT 'ts' AS column_name, CAST(min(ts) AS VARCHAR) AS min_value, CAST(max(ts) AS VARCHAR) AS max_value FROM events
     UNION ALL SELECT 'value', CAST(min(value) + 0.0 AS VARCHAR), CAST(max(value) + 0.0 AS VARCHAR) FROM events

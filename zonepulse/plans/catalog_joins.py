@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import mean_by
 from ..operators.joins import absent_keys, attach, combine, shifted
 from ..schemas import BOROUGH_SLOTS, COMPLAINT_TOTAL, COUNT_COLUMNS, PROPERTY_OTHER, PROPERTY_SLOTS, ROOM_SLOTS, SALE_PRICE
+from ..session import scratch_path
+from ..sources.writers import bucketed_table
 from . import complaints, listings, roles, sales, study
-from .catalog import Tables, query
+from .catalog import QUERIES, Tables, query
 from .catalog_scalars import _NUMERIC_SQL, _slots_sql
 
 KEYS = study.KEYS
@@ -104,6 +108,23 @@ def training_frame(t: Tables) -> DataFrame:
     return _rounded(training(t))
 
 
+_TRAINING_SQL = QUERIES["training_frame"].sql
+BUCKETS = 8
+
+
+@query(_TRAINING_SQL)
+def training_frame_bucketed(t: Tables) -> DataFrame:
+    """``training_frame`` from two tables bucketed by the join keys: the join, which may be
+    repeated for every shift or model, reads bucket beside bucket."""
+    label = uuid.uuid4().hex
+    path = scratch_path(t.spark, "buckets")
+    tables = []
+    for name, rows in (("listings", listing_rows(t)), ("profile", profile(t))):
+        tables.append(bucketed_table(rows, f"{name}_{label}", KEYS, BUCKETS, f"{path}/{name}"))
+    # The hint keeps small tables, as here, from being broadcast.
+    return _rounded(study.training_frame(tables[0].hint("merge"), tables[1], carry=("listing_id",)))
+
+
 @query(
     f"""SELECT request_id, CASE WHEN p.month IS NULL THEN 'No record for ' || r.month || '|' || r.zone ELSE 'ok' END AS status,
       all_type_complaint, round(real_estate_price, 6) AS real_estate_price

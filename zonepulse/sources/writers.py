@@ -72,6 +72,18 @@ def parquet_table(df: DataFrame, path: str, by: list[str] | None = None, mode: s
         df.write.mode(mode).parquet(path)
 
 
+def bucketed_table(df: DataFrame, name: str, keys: list[str], buckets: int, path: str) -> DataFrame:
+    """A catalog table of Parquet files in ``buckets`` by ``keys``, sorted within, read back.
+
+    Tables bucketed alike are joined and grouped by these keys without a shuffle, however
+    often. The files are in ``path``; the rows are shuffled once so that each bucket is one
+    file, and buckets of a size for one task: take their number from the larger table.
+    """
+    spread = df.repartition(buckets, *keys)
+    spread.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def _moded(df: DataFrame, mode: str):
     if mode == "replace":
         return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
