@@ -5,6 +5,9 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from zonepulse.operators import learning
+from zonepulse.plans import catalog_models
+from zonepulse.plans.catalog import Tables
+from zonepulse.session import materialise
 
 
 @pytest.fixture(scope="module")
@@ -73,3 +76,49 @@ def test_scaling(frame):
     scaled = learning.scale_min_max(frame, ["x", "z"])
     assert set(scaled.columns) == set(frame.columns)
     assert tuple(scaled.agg(F.min("x"), F.max("x"), F.min("z"), F.max("z")).first()) == (0.0, 1.0, 0.0, 1.0)
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    from conftest import DATA
+
+    return Tables(spark, DATA)
+
+
+def test_balance_notices_another_penalty(tables):
+    rows = materialise(catalog_models.training(tables))
+
+    def wrong(reg, alpha):
+        found = catalog_models._balance(tables, rows, learning.linear(reg=reg, alpha=alpha), 3000.0, 0.8)
+        return found.filter("NOT is_best").count()
+
+    assert wrong(3000.0, 0.8) == 0
+    assert all(wrong(*p) > 3 for p in [(2500.0, 0.8), (3000.0, 0.6), (0.3, 0.8)])
+
+
+def test_node_queries_notice_other_sizes(tables):
+    small = catalog_models._forest_nodes(tables, learning.forest(depth=3, trees=2)).collect()
+    assert {(r.n_trees, r.deepest) for r in small} == {(2, 3)} and all(r.importance_agrees and r.rows_kept for r in small)
+    boosted = catalog_models._boosted_nodes(tables, learning.boosted_trees(max_iter=3)).first()
+    assert (boosted.n_trees, boosted.deepest, boosted.rounds_improve) == (3, 5, True)
+    worse = catalog_models._boosted_nodes(tables, learning.boosted_trees(max_iter=3).setStepSize(1.0).setLossType("absolute")).first()
+    assert worse.n == boosted.n and worse.start == boosted.start
+
+
+def test_importances_and_rows_notice_changed_nodes(spark, frame, tmp_path):
+    model = learning.fit(frame, ["x", "z"], learning.forest(depth=4, trees=3))
+    nodes = learning.stored_nodes(spark, model, str(tmp_path / "m"))
+    known = {r.feature: r.importance for r in learning.importances(spark, model).collect()}
+    again = {r.feature: r.importance for r in learning.importances_from_nodes(nodes).collect()}
+    assert again == pytest.approx(known, abs=1e-12) and learning.misplaced_rows(nodes).isEmpty()
+    bent = nodes.withColumn("gain", F.col("gain") * F.when(F.col("feature") == "z", 2.0).otherwise(1.0))
+    assert learning.importances_from_nodes(bent).filter("feature = 'z'").first().importance > known["z"] + 1e-3
+    lost = nodes.withColumn("n", F.col("n") - F.when((F.col("tree") == 1) & (F.col("left") < 0), 1).otherwise(0))
+    assert learning.misplaced_rows(lost).count() > 0
+    assert learning.misplaced_rows(nodes.filter("NOT (tree = 2 AND id = 1)")).count() == 1
+
+
+def test_linear_score_is_the_prediction(frame):
+    model = learning.fit(frame, ["x", "z"], learning.linear())
+    both = model.transform(frame).withColumn("again", learning.linear_score(model))
+    assert both.filter(F.abs(F.col("prediction") - F.col("again")) > 1e-9).isEmpty()

@@ -8,7 +8,7 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import LABEL
@@ -163,6 +163,89 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
     )
 
 
+def penalty_gaps(
+    scored: DataFrame, spark: SparkSession, model: PipelineModel, reg: float, alpha: float, label: str = LABEL
+) -> DataFrame:
+    """(feature, coefficient, mean, gap): how far each coefficient of an elastic-net fit is
+    from the best one, given the rows it was fitted on with their predictions.
+
+    At the best fit the residual's covariance with each feature, both sides scaled to
+    deviation 1, is balanced by the penalty's slope. ``gap`` is what is left of the
+    balance, in deviations of the label; NULL for a constant feature. One aggregation.
+    """
+    names = model.stages[0].getInputCols()
+    residual = F.col(label) - F.col("prediction")
+    found = scored.agg(
+        F.stddev_pop(label).alias("sy"),
+        *(
+            fn.alias(f"{name}_{i}")
+            for i, c in enumerate(names)
+            for name, fn in (("cov", F.covar_pop(F.col(c), residual)), ("sd", F.stddev_pop(c)), ("mean", F.avg(c)))
+        ),
+    )
+    each = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            "sy",
+            F.col(f"cov_{i}").alias("cov"),
+            F.col(f"sd_{i}").alias("sd"),
+            F.col(f"mean_{i}").alias("mean"),
+        )
+        for i, c in enumerate(names)
+    ]
+    rows = found.select(F.inline(F.array(*each))).join(coefficients(spark, model), "feature")
+    w, sd = F.col("coefficient"), F.when(F.col("sd") > 0, F.col("sd"))
+    slope = -F.col("cov") / sd + reg * (1 - alpha) * w * sd / F.col("sy")
+    gap = F.when(w == 0, F.greatest(F.abs(slope) - reg * alpha, F.lit(0.0))).otherwise(F.abs(slope + reg * alpha * F.signum(w)))
+    return rows.select("feature", "coefficient", "mean", (gap / F.col("sy")).alias("gap"))
+
+
+def linear_score(model: PipelineModel) -> Column:
+    """The prediction of a linear pipeline as a plain expression over its input columns."""
+    fitted = model.stages[-1]
+    terms = zip(model.stages[0].getInputCols(), fitted.coefficients.toArray(), strict=True)
+    return sum((F.col(c) * F.lit(float(w)) for c, w in terms), F.lit(float(fitted.intercept)))
+
+
+def stored_nodes(spark: SparkSession, model: PipelineModel, path: str) -> DataFrame:
+    """The tree model of a pipeline, saved under ``path`` and read back as a table of nodes:
+    (tree, id, left, right, feature, gain, weight, n, mean). Leaves have ``left`` -1;
+    ``weight`` is the weighted, ``n`` the plain number of rows that reached the node."""
+    model.stages[-1].write().save(path)
+    names = F.array(*(F.lit(c) for c in model.stages[0].getInputCols()))
+    node = F.col("nodeData")
+    split = node["split"]["featureIndex"]
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        node["id"].alias("id"),
+        node["leftChild"].alias("left"),
+        node["rightChild"].alias("right"),
+        F.when(node["leftChild"] >= 0, F.get(names, split)).alias("feature"),
+        node["gain"].alias("gain"),
+        node["impurityStats"][0].alias("weight"),
+        node["rawCount"].alias("n"),
+        (node["impurityStats"][1] / node["impurityStats"][0]).alias("mean"),
+    )
+
+
+def importances_from_nodes(nodes: DataFrame) -> DataFrame:
+    """(feature, importance) of the features a forest splits on: the weighted gain of their
+    splits as shares of each tree's, averaged over the trees that split at all."""
+    gains = nodes.filter("left >= 0").groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("g"))
+    shares = gains.withColumn("share", F.col("g") / F.sum("g").over(Window.partitionBy("tree")))
+    sums = shares.groupBy("feature").agg(F.sum("share").alias("s"))
+    # The shares of a tree sum to 1, and there is one row per feature.
+    return sums.select("feature", (F.col("s") / F.sum("s").over(Window.partitionBy())).alias("importance"))
+
+
+def misplaced_rows(nodes: DataFrame) -> DataFrame:
+    """Splits whose two sides do not hold the rows of the split: none in a sound model."""
+    child = nodes.select("tree", F.col("id").alias("child"), F.col("n").alias("m"))
+    sides = nodes.filter("left >= 0").select("tree", "id", "n", F.explode(F.array("left", "right")).alias("child"))
+    sums = sides.join(child, ["tree", "child"]).groupBy("tree", "id", "n").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("k"))
+    return sums.filter("m <> n OR k <> 2")
+
+
 def scale_min_max(df: DataFrame, columns: list[str]) -> DataFrame:
     """The given columns scaled to 0..1: one assembler and one scaler for all."""
     pipeline = Pipeline(stages=[assembler(columns), MinMaxScaler(inputCol="features", outputCol="scaled")])

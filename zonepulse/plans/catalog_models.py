@@ -1,7 +1,10 @@
-"""Regression queries. Fits have no SQL twin; their invariants are in the tests."""
+"""Regression queries. SQL knows closed forms; of other fits it knows what must hold."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from ..operators.joins import attach
 from ..schemas import FEATURE_COLUMNS
 from ..session import materialise, scratch_path
 from . import roles, study
-from .catalog import Tables, query
+from .catalog import QUERIES, Tables, query
 from .catalog_joins import profile, training
 
 ID = "listing_id"
@@ -70,15 +73,46 @@ _TRAINING = f"""SELECT listing_id FROM ({roles.DUCK_CLEAN_LISTINGS}) l JOIN ({ro
   ON replace(l.Date, '/', '-') = p.month AND l.zipcode = p.zone"""
 
 
+_PRICED = f"""SELECT price, {_BUCKET.format(k='listing_id')} AS bucket FROM ({QUERIES["training_frame"].sql})"""
+
+
 def _report_sql(*models: str) -> str:
-    """Of a fit SQL knows the rows held out, and that no root mean square is below the mean."""
-    held = f"SELECT count(*) AS n FROM (SELECT {_BUCKET.format(k='listing_id')} AS bucket FROM ({_TRAINING})) WHERE bucket >= 9"
-    return " UNION ALL ".join(f"SELECT '{m}' AS model, n, TRUE AS rmse_at_least_mae FROM ({held})" for m in models)
+    """Of a fit SQL knows the rows held out and how far off the mean of the training rows is
+    there, and that no root mean square is below the mean."""
+    held = f"""SELECT count(*) AS n, round(sqrt(avg((price - m) * (price - m))), 2) AS mean_rmse
+      FROM ({_PRICED}), (SELECT avg(price) AS m FROM ({_PRICED}) WHERE bucket < 9) WHERE bucket >= 9"""
+    flags = "TRUE AS rmse_at_least_mae, TRUE AS evaluator_agrees"
+    return " UNION ALL ".join(f"SELECT '{m}' AS model, n, mean_rmse, {flags} FROM ({held})" for m in models)
 
 
 def _held_out(t: Tables, **estimators) -> DataFrame:
-    report, _ = learning.compare(training(t), ID, estimators)
-    return report.select("model", "n", ((F.col("rmse") >= F.col("mae")) & (F.col("mae") > 0)).alias("rmse_at_least_mae"))
+    """The report of ``learning.compare``, and whether Spark's own evaluator finds the same
+    errors in predictions that were stored as a table."""
+    frame = materialise(training(t))
+    report, models = learning.compare(frame, ID, estimators)
+    train, test = learning.split_by_hash(frame, ID)
+    mean = train.agg(F.avg("price")).first()[0]
+    scored = test
+    for name, model in models.items():
+        scored = model.transform(scored).drop("features").withColumnRenamed("prediction", f"prediction_{name}")
+    stored = materialise(scored.select("price", *(f"prediction_{m}" for m in models)))
+    again = []
+    for name in models:
+        judge = RegressionEvaluator(predictionCol=f"prediction_{name}", labelCol="price")
+        again.append((name, *(float(judge.setMetricName(m).evaluate(stored)) for m in ("rmse", "mae"))))
+    second = t.spark.createDataFrame(again, "model string, rmse2 double, mae2 double")
+    off = (F.col("price") - mean) * (F.col("price") - mean)
+    baseline = stored.agg(F.round(F.sqrt(F.avg(off)), 2)).first()[0]
+    near = F.lit(True)
+    for m in ("rmse", "mae"):
+        near = near & (F.abs(F.col(m) - F.col(f"{m}2")) <= 1e-9 * F.col(f"{m}2"))
+    return report.join(second, "model").select(
+        "model",
+        "n",
+        F.lit(baseline).alias("mean_rmse"),
+        ((F.col("rmse") >= F.col("mae")) & (F.col("mae") > 0)).alias("rmse_at_least_mae"),
+        near.alias("evaluator_agrees"),
+    )
 
 
 @query(_report_sql("linear"))
@@ -134,6 +168,85 @@ def feature_importance(t: Tables) -> DataFrame:
     return found.select("feature", share.alias("in_range"), F.lit(total.first()[0]).alias("total"))
 
 
+@query(_names_sql(FEATURE_COLUMNS, "10 AS n_trees, 20 AS deepest, TRUE AS importance_agrees, TRUE AS rows_kept"))
+def forest_nodes(t: Tables) -> DataFrame:
+    """The full forest as a stored table of nodes: importances worked out again from gains
+    and row counts, and every split's rows found on its two sides."""
+    return _forest_nodes(t, learning.forest())
+
+
+def _forest_nodes(t: Tables, estimator) -> DataFrame:
+    model = learning.fit(training(t), FEATURE_COLUMNS, estimator)
+    nodes = learning.stored_nodes(t.spark, model, scratch_path(t.spark, "forest"))
+    kept = learning.misplaced_rows(nodes).isEmpty()
+    trees = model.stages[-1].trees
+    again = learning.importances_from_nodes(nodes).withColumnRenamed("importance", "again")
+    both = learning.importances(t.spark, model).join(again, "feature", "left")
+    agrees = F.abs(F.col("importance") - F.coalesce("again", F.lit(0.0))) <= 1e-9
+    return both.select(
+        "feature",
+        F.lit(len(trees)).alias("n_trees"),
+        F.lit(max(x.depth for x in trees)).alias("deepest"),
+        agrees.alias("importance_agrees"),
+        F.lit(kept).alias("rows_kept"),
+    )
+
+
+@query(
+    f"""SELECT 50 AS n_trees, 5 AS deepest, count(*) AS n, round(avg(price), 2) AS start, TRUE AS rows_kept, TRUE AS rounds_improve
+    FROM ({_PRICED})"""
+)
+def boosted_nodes(t: Tables) -> DataFrame:
+    """The full boosted model as a stored table of nodes: its first tree starts from all rows
+    and their mean, no row is lost in a split, and no round makes the fit worse."""
+    return _boosted_nodes(t, learning.boosted_trees())
+
+
+def _boosted_nodes(t: Tables, estimator) -> DataFrame:
+    frame = materialise(training(t))
+    model = learning.fit(frame, FEATURE_COLUMNS, estimator)
+    nodes = learning.stored_nodes(t.spark, model, scratch_path(t.spark, "boosted"))
+    kept = learning.misplaced_rows(nodes).isEmpty()
+    trees = model.stages[-1].trees
+    losses = model.stages[-1].evaluateEachIteration(model.stages[0].transform(frame), "squared")
+    improve = all(b <= a * (1 + 1e-12) for a, b in zip(losses, losses[1:])) and losses[-1] < losses[0]
+    return nodes.filter("tree = 0 AND id = 0").select(
+        F.lit(len(trees)).alias("n_trees"),
+        F.lit(max(x.depth for x in trees)).alias("deepest"),
+        "n",
+        F.round("mean", 2).alias("start"),
+        F.lit(kept).alias("rows_kept"),
+        F.lit(improve).alias("rounds_improve"),
+    )
+
+
+_NET_PENALTIES = [(0.3, 0.8), (3000.0, 0.8), (30000.0, 0.2)]
+# What the solver's tolerance leaves of the balance, in deviations of the price.
+_NET_GAP = 1e-4
+
+
+@query(
+    f"WITH f AS ({QUERIES['training_frame'].sql}) "
+    + " UNION ALL ".join(
+        f"SELECT {reg}::DOUBLE AS reg, '{c}' AS feature, round(avg({c}), 3) AS mean, TRUE AS is_best FROM f"
+        for reg, _ in _NET_PENALTIES
+        for c in FEATURE_COLUMNS
+    )
+)
+def fit_linear_balance(t: Tables) -> DataFrame:
+    """The penalised fit on all features, for the study's penalty and stronger ones: each
+    coefficient is where the data's pull and the penalty's cancel."""
+    frame = materialise(training(t))
+    return reduce(DataFrame.unionAll, (_balance(t, frame, learning.linear(reg=r, alpha=a), r, a) for r, a in _NET_PENALTIES))
+
+
+def _balance(t: Tables, frame: DataFrame, estimator, reg: float, alpha: float) -> DataFrame:
+    model = learning.fit(frame, FEATURE_COLUMNS, estimator.setTol(1e-12))
+    gaps = learning.penalty_gaps(model.transform(frame), t.spark, model, reg, alpha)
+    best = F.coalesce(F.col("gap") <= _NET_GAP, F.col("coefficient") == 0)
+    return gaps.select(F.lit(reg).alias("reg"), "feature", F.round("mean", 3).alias("mean"), best.alias("is_best"))
+
+
 @query(_names_sql([*FEATURE_COLUMNS, "(intercept)"], "TRUE AS is_finite"))
 def model_coefficients(t: Tables) -> DataFrame:
     model = learning.fit(training(t), FEATURE_COLUMNS, learning.linear())
@@ -212,3 +325,22 @@ def score_requests(t: Tables) -> DataFrame:
     model = learning.fit(training(t, neighbourhood), FEATURE_COLUMNS, learning.forest())
     scored = study.score(roles.requests(t), neighbourhood, model)
     return scored.select("request_id", "status", F.col("prediction").isNotNull().alias("has_prediction"))
+
+
+@query(
+    f"""SELECT request_id, CASE WHEN p.month IS NULL THEN 'No record for ' || r.month || '|' || r.zone ELSE 'ok' END AS status,
+      CASE WHEN p.month IS NOT NULL THEN TRUE END AS expression_agrees
+    FROM (SELECT request_id, substr(date, 1, 7) AS month, zip AS zone FROM ({roles.DUCK_REQUESTS})) r
+    LEFT JOIN ({roles.DUCK_PROFILE}) p ON r.month = p.month AND r.zone = p.zone"""
+)
+def score_requests_linear(t: Tables) -> DataFrame:
+    """Requests scored by the linear pipeline, and again by its coefficients as an expression."""
+    neighbourhood = materialise(profile(t))
+    model = learning.fit(training(t, neighbourhood), FEATURE_COLUMNS, learning.linear())
+    scored = study.score(roles.requests(t), neighbourhood, model)
+    rows = study.lookup(study.request_rows(roles.requests(t), ("request_id",)), neighbourhood)
+    again = rows.select("request_id", learning.linear_score(model).alias("again"))
+    near = F.abs(F.col("prediction") - F.col("again")) <= 1e-9 * F.greatest(F.abs("again"), F.lit(1.0))
+    both = scored.join(again, "request_id")
+    agrees = F.when(F.col("prediction").isNotNull(), F.coalesce(near, F.lit(False)))
+    return both.select("request_id", "status", agrees.alias("expression_agrees"))
