@@ -44,10 +44,14 @@ def test_chi_square():
 def plain_estimate(x):
     """Concentration steps in numpy from the same starts."""
     n, p = x.shape
-    floor = np.diag([(FLOORS[d] * UNIT) ** 2 for d in DIMS])
+    floor = np.array([(FLOORS[d] * UNIT) ** 2 for d in DIMS])
+
+    def floored(c):
+        c[np.diag_indices(p)] = np.maximum(np.diag(c), floor)
+        return c
 
     def moments(rows, factor):
-        return rows.mean(0), np.cov(rows.T, bias=True) * factor + floor
+        return rows.mean(0), floored(np.cov(rows.T, bias=True) * factor)
 
     def distances(m, c):
         return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
@@ -58,7 +62,7 @@ def plain_estimate(x):
 
     ends = []
     spread = np.array([(quantile(x[:, i], 0.75) - quantile(x[:, i], 0.25)) / 1.349 for i in range(p)])
-    for m, c in [(np.array([quantile(x[:, i], 0.5) for i in range(p)]), np.diag(spread**2) + floor), moments(x, 1.0)]:
+    for m, c in [(np.array([quantile(x[:, i], 0.5) for i in range(p)]), floored(np.diag(spread**2))), moments(x, 1.0)]:
         for _ in range(O.STEPS):
             b = np.floor(np.log2(distances(m, c) + 1e-3) * O._BINS)
             cut = np.sort(b)[int(np.ceil(n * O.H_SHARE)) - 1]
@@ -103,6 +107,25 @@ def test_junk_goes_and_clean_text_stays(spark):
     assert got[2003].kept and got[2003].d2 is None  # no group is large enough to judge it
 
 
+def test_mild_junk_goes_from_a_clean_group(spark):
+    rng = random.Random(6)
+    clean = [(i, prose(rng, rng.choice([60, 120, 400])), "en", "a") for i in range(200)]
+    # Clean texts with a line said twice, or a few symbols, stay.
+    clean += [(300 + i, (line := prose(rng, 9)) + "\n" + prose(rng, 70) + "\n" + line, "en", "a") for i in range(8)]
+    clean += [(400 + i, prose(rng, 80) + " #1 & #2", "en", "a") for i in range(4)]
+    junk = []
+    for i in range(6):
+        phrase = prose(rng, 12)
+        junk.append((1000 + i, " ".join([prose(rng, 216), *[phrase + " " + prose(rng, 1)] * 15]), "en", "a"))
+        marked = prose(rng, 400).split()
+        junk.append((2000 + i, " ".join("#" + w if k % 10 == 0 else w for k, w in enumerate(marked)), "en", "a"))
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in judge(docs).collect()}
+    assert all(0.42 < got[1000 + i].n_repeat_words / got[1000 + i].n_words < 0.5 for i in range(6))
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {r[0] for r in junk}
+
+
 def test_reruns_and_partitions_agree(spark):
     rng = random.Random(4)
     docs = spark.createDataFrame([(i, prose(rng, 50 + i), "en", "a") for i in range(80)], "doc_id long, text string, lang string, source string")

@@ -32,9 +32,10 @@ STEPS = 3
 LEAST_ROWS = 50
 #: Chance that a clean document of normal statistics lies beyond the limit.
 TAIL = 1e-6
-#: The statistics after their transformation, and the spread each is granted at least: most
-#: texts have no symbol or repeated line at all, and a few of them make no outlier.
-FLOORS = {"word_length": 0.05, "symbols": 0.8, "repeated_lines": 1.0, "repeated_words": 1.2, "length": 0.5}
+#: The statistics after their transformation, and the deviation each is granted where the
+#: real one is smaller: most texts have no symbol or repeated line at all, and a few of them
+#: make no outlier. Repeated words count in percent of the words, the others in logarithms.
+FLOORS = {"word_length": 0.05, "symbols": 0.7, "repeated_lines": 1.0, "repeated_words": 7.0, "length": 0.5}
 DIMS = list(FLOORS)
 GROUPS_PER_FILE = 10_000
 _BINS = 16  # per doubling of the squared distance
@@ -118,7 +119,7 @@ def _transformed() -> dict[str, Column]:
         "word_length": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n),
         "symbols": F.log1p(1000 * F.col("n_symbols") / n),
         "repeated_lines": F.log1p(1000 * F.col("n_dup_lines") / n),
-        "repeated_words": F.log1p(100 * F.col("n_repeat_words") / n),
+        "repeated_words": 100 * F.col("n_repeat_words") / n,
         "length": F.log(n),
     }
     return {d: F.round(values[d] * UNIT).cast("long") for d in DIMS}
@@ -143,7 +144,8 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame, by: list[str], factor: float) -> DataFrame:
-    """Means m_d and covariances c_d_e of each group, with the floors on the diagonal."""
+    """Means m_d and covariances c_d_e of each group, no variance under its floor: a raised
+    diagonal leaves the matrix positive definite."""
     whole = lambda c: F.sum(c.cast("decimal(20,0)"))
     sums = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
@@ -157,7 +159,7 @@ def _moments(rows: DataFrame, by: list[str], factor: float) -> DataFrame:
         for e in DIMS[: i + 1]:
             value = (F.col(f"p_{d}_{e}").cast("double") / n - mean[d] * mean[e]) * factor
             if d == e:
-                value = F.greatest(value, F.lit(0.0)) + (FLOORS[d] * UNIT) ** 2
+                value = F.greatest(value, F.lit((FLOORS[d] * UNIT) ** 2))
             out.append(value.alias(f"c_{d}_{e}"))
     return sums.select(*by, "n", *out)
 
@@ -205,7 +207,7 @@ def _quartile_start(rows: DataFrame) -> DataFrame:
         *(((pick(d, "q3") - pick(d, "q1")) / 1.349).alias(f"r_{d}") for d in DIMS),
     )
     cov = [
-        ((F.col(f"r_{d}") * F.col(f"r_{d}") + (FLOORS[d] * UNIT) ** 2) if d == e else F.lit(0.0)).alias(f"c_{d}_{e}")
+        (F.greatest(F.col(f"r_{d}") * F.col(f"r_{d}"), F.lit((FLOORS[d] * UNIT) ** 2)) if d == e else F.lit(0.0)).alias(f"c_{d}_{e}")
         for i, d in enumerate(DIMS)
         for e in DIMS[: i + 1]
     ]
