@@ -111,6 +111,30 @@ def test_join_does_not_list_pairs_of_a_crowd(spark):
     assert join.links.count() < 400  # of 19,900 pairs
 
 
+class Counted(JaccardJoin):
+    def _verified(self, pairs):
+        checked = super()._verified(pairs)
+        self.n_checked = getattr(self, "n_checked", 0) + checked.count()
+        return checked
+
+
+def test_pivot_is_the_text_that_others_were_made_from(spark):
+    """Copies changed in three places each are like the base, but not like one another, and
+    the base has neither the smallest nor the largest id."""
+    rng, rows = random.Random(4), []
+    base = [f"b{i}" for i in range(200)]
+    for i in range(200):
+        w = list(base)
+        if i != 77:
+            for j, at in enumerate(rng.sample(range(5, 195, 6), 3)):
+                w[at] = f"c{i}_{j}"
+        rows.append((i, " ".join(w)))
+    join = Counted(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = join.solve()
+    assert {(r.node, r.component) for r in found.collect()} == {(i, 0) for i in range(200)}
+    assert join.n_checked < 2000  # of 19,900 pairs
+
+
 def test_join_edges(spark, nothing):
     assert jaccard_components(nothing).count() == 0
     rows = [(None, "a b c d e f", 1), (4, "a b c d e f", 1), (4, "a b c d e f", 1), (7, "A B C D E F", 1), (8, None, 1), (9, " ", 1), (None, "q", 1)]

@@ -10,7 +10,10 @@ Copies (equal sets) are one class with one representative. Classes are linked in
 rounds, neither of which lists the pairs within a group of near copies:
 
 1.  Of the classes that share a prefix n-gram and are of like size, each is verified
-    against the smallest one only. The links found are contracted to components.
+    against one pivot only: the class with the fewest prefix n-grams of its own, then the
+    smallest. A text that others were made from has none of its own, while two copies of
+    it, each changed elsewhere, may be too far apart. The links found are contracted to
+    components.
 2.  Prefix n-grams that still join different components give all their pairs across
     components, without those already verified. After this every pair above the
     threshold is verified or inside one component, so the components are exact.
@@ -214,13 +217,16 @@ class JaccardJoin:
         )
 
     def _prefixes(self) -> DataFrame:
-        """Prefix n-grams that two classes or more share, with place and sizes."""
-        rows = self.classes.select("rep", "n", F.posexplode("prefix").alias("place", "gram"))
+        """Prefix n-grams that two classes or more share, with place, sizes and the number of
+        n-grams in the class's prefix that no other class has there."""
+        rows = self.classes.select("rep", "n", F.size("prefix").alias("length"), F.posexplode("prefix").alias("place", "gram"))
         # Sizes t apart are in the same or in neighbouring bands.
         band = F.floor(F.log("n") / F.lit(math.log(self.t[1] / self.t[0]))).cast("int")
         rows = rows.withColumn("band", band)
         ends = rows.groupBy("gram").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-        return materialise(rows.join(ends.filter("low < high").select("gram"), "gram"))
+        shared = rows.join(ends.filter("low < high").select("gram"), "gram")
+        own = F.col("length") - F.count(F.lit(1)).over(Window.partitionBy("rep"))
+        return materialise(shared.withColumn("own", own).drop("length"))
 
     def _plausible(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that pass the length and suffix filters, each once."""
@@ -246,26 +252,28 @@ class JaccardJoin:
     def solve(self) -> DataFrame:
         """(rep, component) of every class that has a link."""
         rows = self._prefixes()
-        pivots = rows.groupBy("gram", "band").agg(F.min("rep").alias("a"))
-        stars = rows.join(pivots, ["gram", "band"]).filter("rep > a").select("a", F.col("rep").alias("b")).distinct()
+        pivots = rows.groupBy("gram", "band").agg(F.min(F.struct("own", "rep")).alias("pivot"))
+        stars = rows.join(pivots, ["gram", "band"]).select(F.col("pivot.rep").alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()
         first = self._verified(self._plausible(stars))
         self.links = first.filter("linked").select("a", "b")
         found = materialise(components(self.links))
         known = rows.join(found, rows.rep == found.node, "left").withColumn("part", F.coalesce("component", "rep"))
-        known = known.select("gram", "rep", "n", "place", "band", "part")
+        known = known.select("gram", "rep", "own", "n", "place", "band", "part")
         mixed = known.groupBy("gram").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q")
         # The n-gram before this one in the class's order, of those that are joined.
         before = F.lag("gram").over(Window.partitionBy("rep").orderBy("place"))
         known = materialise(known.join(mixed.select("gram"), "gram").withColumn("before", before))
-        left = known.select("gram", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "place", "part", "before")), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-        right = known.select("gram", "band", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "place", "part", "before")))
+        left = known.select("gram", *(F.col(c).alias(f"{c}_a") for c in ("rep", "own", "n", "place", "part", "before")), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+        right = known.select("gram", "band", *(F.col(c).alias(f"{c}_b") for c in ("rep", "own", "n", "place", "part", "before")))
         rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
         # The first shared n-gram of a pair leaves room enough in both, so the pair stays through it.
         fits = rest * (self.t[0] + self.t[1]) >= _worst(F.col("n_a"), F.col("n_b"), self.t)
         # Where the n-grams before it are one too, the pair is named there: near copies share
         # hundreds, but are named once to a run of them.
         starts = F.col("before_a").isNull() | F.col("before_b").isNull() | (F.col("before_a") != F.col("before_b"))
-        two = (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & starts
+        # The first of a pair is the one that would be its pivot, as in the first round.
+        ordered = F.struct("own_a", "rep_a") < F.struct("own_b", "rep_b")
+        two = ordered & (F.col("part_a") != F.col("part_b")) & starts
         across = left.join(right, ["gram", "band"]).filter(two & _like_size("n_a", "n_b", self.t) & fits)
         pairs = across.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
         second = self._verified(self._plausible(pairs))
