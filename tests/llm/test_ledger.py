@@ -8,7 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from zonepulse.llm import queries
-from zonepulse.llm.blob_ledger import RULES, Ledger, Rule, blob_of, listed, redacted, scan_paths
+from zonepulse.llm.blob_ledger import RULES, Ledger, Rule, blob_of, listed, redacted, scan_paths, texts_of
 
 KEY = "AKIA" + "A1B2" * 5
 TEXTS = [
@@ -71,6 +71,16 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert ledger.findings(rules).count() == 4 and ledger.findings(newer).count() == 3
 
 
+def test_texts_of_seen_blobs_stay_where_they_are(spark):
+    rows = spark.range(2000).select(F.concat(F.lit("text "), "id").alias("text")).withColumn("blob", blob_of(F.col("text")))
+    versions = rows.select("blob", "text")
+    assert texts_of(versions, versions.select("blob").limit(0)).count() == 0
+    new = versions.filter("text IN ('text 7', 'text 1900')")
+    near = {r.text for r in texts_of(versions, new.select("blob")).collect()}
+    assert {"text 7", "text 1900"} <= near and len(near) < 20
+    assert texts_of(versions, versions.select("blob")).count() == 2000
+
+
 def test_query_scans_in_two_runs(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / "ledger")
     monkeypatch.setattr(queries, "scratch_path", lambda *_: folder)

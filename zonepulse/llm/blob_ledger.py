@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from .filters import sketch, split_by
 
 
 @dataclass(frozen=True)
@@ -88,6 +89,16 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return placed.filter("passes").select("blob", "rule", "start", "end")
 
 
+def texts_of(versions: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of ``versions`` (blob, text) the rows whose blob may be in ``wanted`` (blob).
+
+    Looked up in a sketch before any text is moved. The sketch is of fixed size: a crowded
+    one lets seen blobs through, it loses none.
+    """
+    near, _ = split_by(versions, "blob", materialise(sketch(wanted, "blob"), files=1))
+    return near
+
+
 class Ledger:
     """A ledger in a folder; it begins to exist with the first run."""
 
@@ -116,20 +127,21 @@ class Ledger:
 
         ``found`` is written before ``scanned``, so a run that fails between the two is
         scanned again; the spans of a pair are then read once all the same, as ``findings``
-        drops repeats.
+        drops repeats. Hashes go first: only texts of blobs with an unseen pair are shuffled.
         """
-        blobs = versions.groupBy("blob").agg(F.first("text").alias("text"))
         done = self.scanned()
         wanted = F.array(*(F.lit(r.kind) for r in rules))
         if done is None:
-            todo = blobs.withColumn("todo", wanted)
+            todo = versions.groupBy("blob").agg(F.first("text").alias("text")).withColumn("todo", wanted)
             pairs = versions.select("blob").distinct().withColumn("rule", F.explode(wanted))
         else:
             current = self.spark.createDataFrame([(r.kind, r.version) for r in rules], "rule string, version int")
             seen = done.join(F.broadcast(current), ["rule", "version"])
             pairs = versions.select("blob").distinct().withColumn("rule", F.explode(wanted)).join(seen, ["blob", "rule"], "left_anti")
             pairs = materialise(pairs)
-            todo = blobs.join(pairs.groupBy("blob").agg(F.collect_set("rule").alias("todo")), "blob")
+            unseen = pairs.groupBy("blob").agg(F.collect_set("rule").alias("todo"))
+            texts = texts_of(versions, pairs).groupBy("blob").agg(F.first("text").alias("text"))
+            todo = texts.join(unseen, "blob")
         # Both tables are small next to the texts: as many files as millions of versions.
         files = 1 + versions.count() // BLOBS_PER_FILE
         version = F.element_at(F.create_map(*(x for r in rules for x in (F.lit(r.kind), F.lit(r.version)))), F.col("rule"))
