@@ -118,6 +118,18 @@ def test_importances_and_rows_notice_changed_nodes(spark, frame, tmp_path):
     assert learning.misplaced_rows(nodes.filter("NOT (tree = 2 AND id = 1)")).count() == 1
 
 
+def test_forest_sends_neither_trees_nor_statistics_of_many_partitions(spark, frame):
+    """Each task at work holds the statistics of a pass, each partition sends them."""
+    many = frame.repartition(16)
+    at_work = spark.sparkContext.defaultParallelism
+    forest = learning.forest(depth=3, trees=2)
+    assert forest.getCacheNodeIds()
+    assert learning._dealt(many, forest).rdd.getNumPartitions() == min(16, at_work)
+    assert learning._dealt(many, learning.linear()).rdd.getNumPartitions() == 16
+    assert spark.sparkContext.getCheckpointDir() is not None
+    assert learning._dealt(many, forest).count() == 2000
+
+
 def test_linear_score_is_the_prediction(frame):
     model = learning.fit(frame, ["x", "z"], learning.linear())
     both = model.transform(frame).withColumn("again", learning.linear_score(model))
