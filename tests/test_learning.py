@@ -123,7 +123,7 @@ def test_forest_sends_neither_trees_nor_statistics_of_many_partitions(spark, fra
     many = frame.repartition(16)
     at_work = spark.sparkContext.defaultParallelism
     forest = learning.forest(depth=3, trees=2)
-    assert forest.getCacheNodeIds()
+    assert forest.getCacheNodeIds() and 2 * forest.getMaxMemoryInMB() <= 0.3 * 1800
     assert learning._dealt(many, forest).rdd.getNumPartitions() == min(16, at_work)
     assert learning._dealt(many, learning.linear()).rdd.getNumPartitions() == 16
     assert spark.sparkContext.getCheckpointDir() is not None
