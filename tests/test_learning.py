@@ -130,6 +130,14 @@ def test_forest_sends_neither_trees_nor_statistics_of_many_partitions(spark, fra
     assert learning._dealt(many, forest).count() == 2000
 
 
+def test_nodes_saved_tree_by_tree_are_the_same(spark, frame, tmp_path):
+    model = learning.fit(frame, ["x", "z"], learning.forest(depth=4, trees=3))
+    whole = learning.stored_nodes(spark, model, str(tmp_path / "whole"))
+    parts = learning.stored_nodes(spark, model, str(tmp_path / "parts"), at_once=10)
+    assert (tmp_path / "parts" / "2").exists() and whole.schema.names == parts.schema.names
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, parts.collect()))
+
+
 def test_linear_score_is_the_prediction(frame):
     model = learning.fit(frame, ["x", "z"], learning.linear())
     both = model.transform(frame).withColumn("again", learning.linear_score(model))
