@@ -142,3 +142,24 @@ def test_linear_score_is_the_prediction(frame):
     model = learning.fit(frame, ["x", "z"], learning.linear())
     both = model.transform(frame).withColumn("again", learning.linear_score(model))
     assert both.filter(F.abs(F.col("prediction") - F.col("again")) > 1e-9).isEmpty()
+
+
+def test_scores_notice_other_predictions(tables, monkeypatch):
+    """The forest is run on the requests: without its predictions there are none."""
+    forest = learning.forest(depth=3, trees=2)
+    sound = catalog_models._score_requests(tables, forest)
+    counts = {r.status[:2]: r["count"] for r in sound.filter("has_prediction").groupBy("status").count().collect()}
+    assert set(counts) == {"ok"} and counts["ok"] == sound.filter("status = 'ok'").count() > 0
+
+    class Bent:
+        def __init__(self, model, value):
+            self.model, self.value = model, value
+
+        def transform(self, rows):
+            return self.model.transform(rows).withColumn("prediction", self.value)
+
+    fit = learning.fit
+    for value in (-F.col("prediction"), F.col("prediction") * 1e6, F.lit(float("nan"))):
+        monkeypatch.setattr(learning, "fit", lambda *a, v=value: Bent(fit(*a), v))
+        bent = catalog_models._score_requests(tables, forest)
+        assert bent.filter("status = 'ok'").count() == counts["ok"] and bent.filter("has_prediction").isEmpty()
